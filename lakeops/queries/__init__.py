@@ -1,5 +1,8 @@
 """Importing this package registers every checked query."""
 from lakeops.queries import (  # noqa: F401
     aggregates,
+    joined,
     projections,
+    state,
+    windowed,
 )
