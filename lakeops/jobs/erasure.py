@@ -37,9 +37,8 @@ def evidence(steps: Mapping[str, DataFrame], erased: DataFrame, key: str, keys:
     for name, log in steps.items():
         now = V.as_of_version(log, keys, F.lit(1 << 60), order=order).join(ids, key, "left_semi")
         held = log.where("op <> 'delete'").join(ids, key, "left_semi")
-        visible = now.agg(F.count("*").alias("visible_rows"), F.lit(1).alias("__one"))
-        kept = held.agg(F.count("*").alias("rows_in_history"), F.lit(1).alias("__one"))
-        rows.append(visible.join(kept, "__one").select(F.lit(name).alias("step"), "visible_rows", "rows_in_history"))
+        visible = now.agg(F.lit(name).alias("step"), F.count("*").alias("visible_rows"))
+        rows.append(visible.withColumn("rows_in_history", held.agg(F.count("*")).scalar()))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -78,8 +78,7 @@ def monthly_statement(daily: DataFrame, month: str, source_version: str) -> Data
         "match_rate": F.round(F.col("matched_legs") / F.greatest("total_legs", F.lit(1)), 5),
         "source_version": F.lit(source_version)})
     # one row per partner at this point
-    checksum = content_checksum(s, STATEMENT_LINE).select(F.col("checksum").alias("statement_checksum"), F.lit(1).alias("__one"))
-    return s.withColumn("__one", F.lit(1)).join(F.broadcast(checksum), "__one").drop("__one")
+    return s.withColumn("statement_checksum", content_checksum(s, STATEMENT_LINE).select("checksum").scalar())
 
 
 def leakage(v: DataFrame, limit_eur: float = 50_000.0) -> DataFrame:

@@ -33,11 +33,9 @@ def without_positions(files: DataFrame, deletes: DataFrame) -> DataFrame:
 def delete_debt(base: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows a reader must skip, one row: delete entries, hidden rows, live rows."""
     marks = deletes.select(*keys).distinct().withColumn("__gone", F.lit(True))
-    entries = deletes.agg(F.count("*").alias("delete_entries"), F.lit(0).alias("__one"))
     rows = base.join(marks, list(keys), "left").agg(
-        F.count_if("__gone").alias("hidden_rows"), F.count_if(F.col("__gone").isNull()).alias("live_rows"),
-        F.lit(0).alias("__one"))
-    return entries.join(rows, "__one").drop("__one")
+        F.count_if("__gone").alias("hidden_rows"), F.count_if(F.col("__gone").isNull()).alias("live_rows"))
+    return rows.withColumn("delete_entries", deletes.agg(F.count("*")).scalar())
 
 
 def residual_rows(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: str) -> DataFrame:
@@ -63,8 +61,7 @@ def erase(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: s
 def audit_rows(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: str, mode: str) -> DataFrame:
     """What an erasure is about to remove, written before it runs."""
     before = residual_rows(tables, erased, key).withColumnRenamed("rows", "rows_targeted")
-    n = erased.select(key).distinct().agg(F.count("*").alias("subjects"), F.lit(0).alias("__one"))
-    return before.withColumn("__one", F.lit(0)).join(n, "__one").drop("__one").withColumn("delete_mode", F.lit(mode))
+    return before.withColumns({"subjects": erased.agg(F.countDistinct(key)).scalar(), "delete_mode": F.lit(mode)})
 
 
 def attestation(before: DataFrame, after: DataFrame, history: DataFrame, expires_at: str) -> DataFrame:

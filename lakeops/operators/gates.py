@@ -152,8 +152,9 @@ def shares(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
 
 def same_totals(before: DataFrame, after: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
     """A full re-run must give the totals of the first run."""
-    one = lambda df, side: df.agg(*[m.alias(f"{n}_{side}") for n, m in measures.items()]).withColumn("__one", F.lit(0))
-    both = one(before, "before").join(one(after, "after"), "__one").drop("__one")
+    totals = lambda df, run: df.agg(*[m.alias(f"{n}_{run}") for n, m in measures.items()])
+    stacked = totals(before, "before").unionByName(totals(after, "after"), allowMissingColumns=True)
+    both = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     ok = F.lit(True)
     for n in measures:
         ok = ok & F.col(f"{n}_before").eqNullSafe(F.col(f"{n}_after"))

@@ -54,10 +54,9 @@ def _holds(ts: str, start: str, end: str) -> Column:
 
 def _grid_join(facts, intervals, keys, ts, start, end, columns, cell_seconds):
     cell = lambda c: F.floor(F.unix_seconds(c) / cell_seconds)
-    # open intervals end with the facts: the grid must be finite
-    last = facts.agg(F.max(cell(F.col(ts))).alias("__last"), F.lit(0).alias("__one"))
-    closed = intervals.select(*keys, start, end, *columns, F.lit(0).alias("__one")).join(
-        F.broadcast(last), "__one")
+    # no cell past a key's last fact is of use, which also closes the open intervals
+    last = facts.groupBy(*keys).agg(F.max(cell(F.col(ts))).alias("__last"))
+    closed = intervals.select(*keys, start, end, *columns).join(last, list(keys))
     top = F.when(F.col(end).isNull(), F.col("__last")).otherwise(
         F.least(F.col("__last"), F.floor((F.unix_micros(F.col(end)) - 1) / (cell_seconds * 1_000_000))))
     spread = closed.where(top >= cell(F.col(start))).select(
@@ -182,7 +181,7 @@ def tolerance_match(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], dur
 
 def convert_currency(df: DataFrame, rates: DataFrame, amount: str, currency: str, out: str) -> DataFrame:
     """Amount times the rate of its currency; the missing rate stays visible in ``rate_missing``."""
-    joined = df.join(F.broadcast(rates), currency, "left")
+    joined = df.join(rates, currency, "left")
     return (joined.withColumn("rate_missing", F.col("rate").isNull())
             .withColumn(out, F.round(F.col(amount) * F.coalesce(F.col("rate"), F.lit(1)), 5)).drop("rate"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 MAX_GROUP_ROWS = 5_000_000      # a key with fewer rows is always left whole
 MAX_HOT_KEYS = 16_384           # a key below total / this is left whole as well
+BUCKETS = 65_536                # hash buckets of the first count
 CUT_GRID = 1_024                # most segments one key is cut into
 COARSE = 32
 
@@ -30,13 +31,15 @@ class HotKeys:
 
     ``table`` is None when there is none; it holds at most MAX_HOT_KEYS rows, and
     the cuts of all keys together number at most twice that, so it may be broadcast.
+    Without key columns the whole table is one key and ``cuts`` holds its cuts.
     """
 
     keys: tuple[str, ...]
     table: DataFrame | None = None
+    cuts: list[list[float]] | None = None
 
     def __bool__(self) -> bool:
-        return self.table is not None
+        return self.table is not None or self.cuts is not None
 
 
 def position(df: DataFrame, name: str) -> Column:
@@ -49,28 +52,42 @@ def position(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], pos: Column,
-             max_rows: int = MAX_GROUP_ROWS) -> HotKeys:
-    """Count rows per key (combined map-side) and cut the keys over the limit.
+def find_hot(df: DataFrame, keys: Sequence[str], pos: Column, max_rows: int = MAX_GROUP_ROWS,
+             rows_per_key: DataFrame | None = None) -> HotKeys:
+    """Find the keys with more rows than a task should take, and cut them.
 
-    Call it on a base table once and hand the result to every operator with the
-    same key: it reads only the key and order columns.
+    The first pass counts rows per hash bucket of the key, so however many keys
+    there are it shuffles at most BUCKETS counters per task. A bucket holds at
+    least as many rows as any key in it, hence no heavy bucket means no heavy key;
+    only rows of heavy buckets are counted by key. Call it on a base table once and
+    hand the result to every operator with the same key: it reads only the key and
+    order columns. ``rows_per_key`` (keys, n) replaces the first pass where the
+    rows are themselves the result of a costly aggregation.
     """
     spark = df.sparkSession
     keys = tuple(keys)
     slim = df.select(*keys, pos.alias("__pos"))
-    counts = slim.groupBy(*keys).agg(F.count("*").alias("__n"))
-    widest = counts.agg(F.max("__n").alias("top"), F.sum("__n").alias("total")).first()
-    limit = max(max_rows, (widest["total"] or 0) // MAX_HOT_KEYS)
-    if (widest["top"] or 0) <= limit:
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int") if keys else F.lit(0)
+    if rows_per_key is None:
+        sizes = slim.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
+    else:
+        sizes = rows_per_key.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"))
+    counted = sizes.collect()                     # at most BUCKETS pairs of numbers
+    total = sum(r["n"] for r in counted)
+    limit = max(max_rows, total // MAX_HOT_KEYS)
+    heavy = [(r["b"],) for r in counted if r["n"] > limit]
+    if not heavy:
         return HotKeys(keys)
-    big = counts.where(F.col("__n") > limit)
-    rows = keyed_join(slim, big, keys, "inner", small=True)
+    suspects = slim.withColumn("b", bucket).join(
+        F.broadcast(spark.createDataFrame(heavy, "b int")), "b", "left_semi").drop("b")
+    big = suspects.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > limit)
+    rows = keyed_join(suspects, big, keys, "inner", small=True) if keys else suspects.withColumn(
+        "__n", F.lit(total))
     grid = [i / CUT_GRID for i in range(1, CUT_GRID)]
     cuts = (
         rows.where(F.col("__pos").isNotNull())
         .groupBy(*keys)
-        .agg(F.percentile_approx("__pos", grid, 10_000).alias("q"), F.first("__n").alias("__n"))
+        .agg(F.percentile_approx("__pos", grid, 10_000).alias("q"), F.max("__n").alias("__n"))
         .withColumn("parts", F.least(F.lit(CUT_GRID), F.ceil(F.col("__n") / F.lit(limit)) + 1)
                     .cast("int"))
         .select(*keys, F.array_sort(F.array_distinct(F.transform(
@@ -81,8 +98,12 @@ def find_hot(df: DataFrame, keys: Sequence[str], pos: Column,
             F.sequence(F.lit(0), ((F.size("c") - 1) / COARSE).cast("int")),
             lambda b: F.slice("c", (b * COARSE + 1).cast("int"), F.lit(COARSE))).alias("__cuts"))
     )
-    table = spark.createDataFrame(cuts.collect(), cuts.schema)
-    return HotKeys(keys, table)
+    found = cuts.collect()
+    if not found:
+        return HotKeys(keys)
+    if not keys:
+        return HotKeys(keys, None, found[0]["__cuts"])
+    return HotKeys(keys, spark.createDataFrame(found, cuts.schema))
 
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
@@ -104,7 +125,11 @@ def with_segment(df: DataFrame, hot: HotKeys, pos: Column, name: str = SEG) -> D
     """Add the segment number: 0 for a whole key, ascending along ``pos`` for a cut one."""
     if not hot:
         return df.withColumn(name, F.lit(0))
-    joined = keyed_join(df.withColumn("__p", pos), hot.table, hot.keys, small=True)
+    placed = df.withColumn("__p", pos)
+    if hot.cuts is not None:
+        joined = placed.withColumn("__cuts", F.array(*[F.array(*[F.lit(x) for x in b]) for b in hot.cuts]))
+    else:
+        joined = keyed_join(placed, hot.table, hot.keys, small=True)
     block = F.greatest(
         F.size(F.filter("__cuts", lambda b: F.element_at(b, 1) <= F.col("__p"))), F.lit(1))
     inner = F.size(F.filter(F.element_at("__cuts", F.col("__block")),
@@ -228,9 +253,9 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     outputs["__rn"] = F.row_number().over(w)
     local = parts.withColumns(outputs)
     # Only cut keys hand anything on: at most two rows per 1 / MAX_HOT_KEYS of the data.
+    cut = local if hot.table is None else keyed_join(local, hot.table.select(*keys), keys, "left_semi", small=True)
     handed = (
-        keyed_join(local, hot.table.select(*keys), keys, "left_semi", small=True)
-        .groupBy(*keys, SEG)
+        cut.groupBy(*keys, SEG)
         .agg(*[_handed_on(s).alias(s.name) for s in specs], F.max("__rn").alias("__size"))
     )
     along = Window.partitionBy(*keys).orderBy(SEG)
@@ -301,13 +326,13 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     keys = list(keys)
     present = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("v"))
-    if not keys:
-        present, keys = present.withColumn("__all", F.lit(0)), ["__all"]
     counts = present.groupBy(*keys, "v").agg(F.count("*").alias("c"))
-    hot = find_hot(counts, keys, F.col("v"), max_rows)
+    # a sketch of the distinct values per key tells whether a key's counts fit one task
+    distinct = present.groupBy(*keys).agg(F.approx_count_distinct("v").alias("n"))
+    hot = find_hot(counts, keys, F.col("v"), max_rows, rows_per_key=distinct)
     upto = scan(counts, keys, ["v"], [running_sum("c", "upto")], hot, F.col("v"))
-    totals = present.groupBy(*keys).agg(F.count("*").alias("n"))
-    ranked = keyed_join(upto, totals, keys)
+    totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
+    ranked = keyed_join(upto, totals, keys) if keys else upto.withColumn("n", totals.scalar())
     picks, outputs = [], []
     for name, p in points.items():
         at = F.lit(float(p)) * (F.col("n") - 1)
@@ -317,4 +342,4 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
         low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         outputs.append((low + (high - low) * (at - F.floor(at))).alias(name))
     folded = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
-    return folded.select(*[k for k in keys if k != "__all"], F.col("n").alias("n_values"), *outputs)
+    return folded.select(*keys, F.col("n").alias("n_values"), *outputs)

@@ -113,8 +113,7 @@ def resample(readings: DataFrame, keys: Sequence[str], ts: str, value: str, step
     number = F.floor(F.unix_seconds(F.col(ts)) / step_seconds)
     folded = readings.where(F.col(value).isNotNull()).groupBy(*keys, number.alias("__slot")).agg(
         F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"),
-        F.count("*").alias("observations"),
-        F.max(F.struct(F.col(ts).alias("at"), F.col(value).alias("v"))).alias("__last"))
+        F.count("*").alias("observations"), F.max(ts).alias("__at"), F.max_by(value, ts).alias("__v"))
     if bounds is None:
         ends = folded.groupBy(*keys).agg(F.min("__slot").alias("a"), F.max("__slot").alias("b"))
     else:
@@ -123,16 +122,17 @@ def resample(readings: DataFrame, keys: Sequence[str], ts: str, value: str, step
     grid = ends.select(*keys, F.explode(F.sequence("a", "b")).alias("__slot"), F.lit(True).alias("__grid"))
     # readings before the grid still count as carried values, so keep both sides
     both = folded.unionByName(grid, allowMissingColumns=True).groupBy(*keys, "__slot").agg(
-        *[F.max(c).alias(c) for c in ("mean", "low", "high", "observations", "__last", "__grid")])
+        *[F.max(c).alias(c) for c in ("mean", "low", "high", "observations", "__at", "__v", "__grid")])
     w = Window.partitionBy(*keys).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     start = F.timestamp_seconds(F.col("__slot") * step_seconds)
-    age = F.unix_micros(start) - F.unix_micros(F.col("__known.at"))
+    age = F.unix_micros(start) - F.unix_micros(F.col("__known_at"))
     fresh = age <= max_age_seconds * 1_000_000
-    done = both.withColumn("__known", F.last("__last", ignorenulls=True).over(w)).where("__grid")
+    done = both.withColumns({"__known_at": F.last("__at", ignorenulls=True).over(w),
+                             "__known_v": F.last("__v", ignorenulls=True).over(w)}).where("__grid")
     return done.select(
         *keys, start.alias("slot"), F.coalesce("observations", F.lit(0)).alias("observations"),
         "low", "high",
-        F.when(F.col("observations") > 0, F.col("mean")).when(fresh, F.col("__known.v")).alias("value"),
+        F.when(F.col("observations") > 0, F.col("mean")).when(fresh, F.col("__known_v")).alias("value"),
         F.when(F.col("observations") > 0, "observed").when(fresh, "carried").otherwise("gap").alias("source"))
 
 
@@ -163,6 +163,5 @@ def bands(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pos
 def global_sequence(df: DataFrame, order: Sequence[str], pos: Column, name: str,
                     max_rows: int = S.MAX_GROUP_ROWS) -> DataFrame:
     """1..n over the whole table along ``order``, numbered segment by segment."""
-    whole = df.withColumn("__all", F.lit(0))
-    hot = S.find_hot(whole, ["__all"], pos, max_rows)
-    return S.scan(whole, ["__all"], order, [S.row_number(name)], hot, pos).drop("__all")
+    hot = S.find_hot(df, [], pos, max_rows)
+    return S.scan(df, [], order, [S.row_number(name)], hot, pos)
