@@ -81,7 +81,11 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 1
     n = 2 ** bits
     probabilities = [i / n for i in range(1, n)]
     cuts = df.agg(*[F.percentile_approx(_number(df, c), probabilities, 10_000).alias(c) for c in columns]).first()
-    buckets = [_bucket(_number(df, c), sorted(set(cuts[c] or []))) for c in columns]
+    buckets = []
+    for c in columns:
+        marks = sorted(set(cuts[c] or []))
+        # a column with few values is stretched over the full range, or it would only decide the low bits
+        buckets.append(F.floor(_bucket(_number(df, c), marks) * n / F.lit(len(marks) + 1)))
     value = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i, bucket in enumerate(buckets):
