@@ -28,20 +28,29 @@ def _index(cells: DataFrame) -> DataFrame:
     return cells.groupBy("feature", "en", "an").agg(F.sum((a - e) * F.ln(a / e)).alias("psi"))
 
 
-def numeric_psi(baseline: DataFrame, today: DataFrame, columns: Sequence[str],
-                max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Bins are the baseline's deciles, frozen; equal edges collapse and the outer bins are open.
+def frozen_edges(base: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Inner bin edges per feature from the baseline's deciles.
 
-    Fewer than 100 values on a side give NULL, fewer than three distinct edges give 0.
+    Eleven numbers per feature: computed once and held, because both populations
+    are binned with them.
     """
-    base, now = (_long(df, columns, "double").where(F.col("v").isNotNull()) for df in (baseline, today))
     points = {f"q{i}": i / BINS for i in range(BINS + 1)}
     quantiles = exact_percentiles(base, ["feature"], "v", points, max_rows)
-    # a row per feature, eleven numbers each
     edges = quantiles.select("feature", F.array_sort(F.array_distinct(F.array(*points))).alias("edges")).select(
         "feature", F.size("edges").alias("n_edges"),
         F.when(F.size("edges") >= 3, F.slice("edges", F.lit(2), F.size("edges") - 2))
         .otherwise(F.array().cast("array<double>")).alias("inner"))
+    return base.sparkSession.createDataFrame(edges.collect(), edges.schema)
+
+
+def numeric_psi(baseline: DataFrame, today: DataFrame, columns: Sequence[str],
+                max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Bins are the baseline's deciles, frozen; equal edges collapse and the outer bins are open.
+
+    Fewer than 100 values on a side give NULL, fewer than three distinct edges give 0.
+    """
+    base, now = (_long(df, columns, "double").where(F.col("v").isNotNull()) for df in (baseline, today))
+    edges = frozen_edges(base, max_rows)
 
     def counted(df: DataFrame, name: str) -> DataFrame:
         binned = df.join(F.broadcast(edges), "feature").select(

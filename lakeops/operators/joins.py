@@ -7,13 +7,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators import scans as S
+from lakeops.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 1_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; reads no more than that."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    """Whether the table has at most ``max_rows`` rows; the count reads no columns of a parquet table."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -78,6 +79,9 @@ def overlap_counts(runs: DataFrame, block: str, member: str, start: str, end: st
     tile its own.
     """
     slot = lambda c: F.floor(F.unix_seconds(F.col(c)) / step_seconds)
+    # read five times below and far smaller than what it was found in
+    ensure_checkpoint_dir(runs.sparkSession)
+    runs = runs.checkpoint()
     base = runs.withColumn("__s", slot(start)).withColumn("__e", slot(end))
     whole = S.HotKeys((block, member))
     linked = S.scan(base, [block, member], ["__s"], [S.lag("__e", "__before")], whole, F.col("__s"))
@@ -162,9 +166,11 @@ def tolerance_match(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], dur
     """
     keys = list(keys)
 
+    pos = F.coalesce(F.col(duration).cast("double"), F.lit(0.0))
+    legs = ours.select(*keys, duration).unionByName(theirs.select(*keys, duration))
+    hot = S.find_hot(legs, keys, pos, max_rows)
+
     def numbered(df, order, prefix):
-        pos = F.coalesce(F.col(duration).cast("double"), F.lit(0.0))
-        hot = S.find_hot(df, keys, pos, max_rows)
         n = S.scan(df.withColumn("__pos", pos), keys, ["__pos", *order], [S.row_number("__leg")], hot,
                    F.col("__pos")).drop("__pos")
         return n.select(*keys, "__leg", F.lit(True).alias(f"__{prefix}"),

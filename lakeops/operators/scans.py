@@ -72,12 +72,12 @@ def find_hot(df: DataFrame, keys: Sequence[str], pos: Column, max_rows: int = MA
         sizes = slim.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
     else:
         sizes = rows_per_key.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"))
-    counted = sizes.collect()                     # at most BUCKETS pairs of numbers
-    total = sum(r["n"] for r in counted)
+    whole = sizes.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
+    total = whole["total"] or 0
     limit = max(max_rows, total // MAX_HOT_KEYS)
-    heavy = [(r["b"],) for r in counted if r["n"] > limit]
-    if not heavy:
+    if (whole["top"] or 0) <= limit:
         return HotKeys(keys)
+    heavy = [(r["b"],) for r in sizes.where(F.col("n") > limit).select("b").collect()]   # at most MAX_HOT_KEYS
     suspects = slim.withColumn("b", bucket).join(
         F.broadcast(spark.createDataFrame(heavy, "b int")), "b", "left_semi").drop("b")
     big = suspects.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > limit)
@@ -333,13 +333,16 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     upto = scan(counts, keys, ["v"], [running_sum("c", "upto")], hot, F.col("v"))
     totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
     ranked = keyed_join(upto, totals, keys) if keys else upto.withColumn("n", totals.scalar())
+    at = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in points.items()}
+    # keep the few rows that hold a wanted rank or the one after it
+    wanted = F.array(*[F.floor(x) for x in at.values()])
+    ranked = ranked.where(F.exists(wanted, lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("c") <= r + 1)))
     picks, outputs = [], []
-    for name, p in points.items():
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        for part, want in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+    for name, x in at.items():
+        for part, want in (("lo", F.floor(x)), ("hi", F.ceil(x))):
             hit = (F.col("upto") > want) & (F.col("upto") - F.col("c") <= want)
             picks.append(F.max(F.when(hit, F.col("v"))).alias(f"__{part}_{name}"))
         low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        outputs.append((low + (high - low) * (at - F.floor(at))).alias(name))
+        outputs.append((low + (high - low) * (x - F.floor(x))).alias(name))
     folded = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
     return folded.select(*keys, F.col("n").alias("n_values"), *outputs)

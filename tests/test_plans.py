@@ -7,7 +7,7 @@ from lakeops.operators.windows import latest_wins, top_n
 from lakeops.plans import inspect
 from lakeops.session import load_table
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 QUERIES = entry.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
 
