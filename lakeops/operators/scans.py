@@ -333,16 +333,22 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     upto = scan(counts, keys, ["v"], [running_sum("c", "upto")], hot, F.col("v"))
     totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
     ranked = keyed_join(upto, totals, keys) if keys else upto.withColumn("n", totals.scalar())
-    at = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in points.items()}
+    ps = F.array(*[F.lit(float(p)) for p in points.values()])
+    rank_of = lambda p: p * (F.col("n") - 1)
     # keep the few rows that hold a wanted rank or the one after it
-    wanted = F.array(*[F.floor(x) for x in at.values()])
-    ranked = ranked.where(F.exists(wanted, lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("c") <= r + 1)))
-    picks, outputs = [], []
-    for name, x in at.items():
-        for part, want in (("lo", F.floor(x)), ("hi", F.ceil(x))):
-            hit = (F.col("upto") > want) & (F.col("upto") - F.col("c") <= want)
-            picks.append(F.max(F.when(hit, F.col("v"))).alias(f"__{part}_{name}"))
-        low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        outputs.append((low + (high - low) * (x - F.floor(x))).alias(name))
-    folded = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
-    return folded.select(*keys, F.col("n").alias("n_values"), *outputs)
+    near = lambda p: (F.col("upto") > F.floor(rank_of(p))) & (F.col("upto") - F.col("c") <= F.floor(rank_of(p)) + 1)
+    # at most two rows per point are left of a key
+    folded = ranked.where(F.exists(ps, near)).groupBy(*keys).agg(
+        F.max("n").alias("n"), F.collect_list(F.struct("upto", "c", "v")).alias("hits"))
+
+    def value_at(rank: Column) -> Column:
+        held = F.filter("hits", lambda h: (h["upto"] > rank) & (h["upto"] - h["c"] <= rank))
+        return F.element_at(held, 1)["v"]
+
+    def interpolated(p: Column) -> Column:
+        x = rank_of(p)
+        low, high = value_at(F.floor(x)), value_at(F.ceil(x))
+        return low + (high - low) * (x - F.floor(x))
+
+    found = folded.select(*keys, F.col("n").alias("n_values"), F.transform(ps, interpolated).alias("__found"))
+    return found.select(*keys, "n_values", *[F.col("__found")[i].alias(name) for i, name in enumerate(points)])

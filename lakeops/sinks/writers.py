@@ -49,6 +49,25 @@ def create_table_as(df: DataFrame, table: str, partition_by: Sequence[str] = ())
     spark.catalog.dropTempView(view)
 
 
+def merge_into(path: str, source: DataFrame, keys: Sequence[str], partition: str, **rules) -> list:
+    """Merge a batch into a partitioned data set, reading and rewriting only the partitions it touches.
+
+    ``rules`` are those of ``changes.merge``; a key must not move between
+    partitions. The partition values of the batch become literals, so the scan of
+    the table is pruned to them. Returns the values rewritten.
+    """
+    from lakeops.operators import changes
+    spark = source.sparkSession
+    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    if not touched:
+        return touched
+    table = spark.read.parquet(path)
+    held = table.where(F.col(partition).isin(touched))
+    merged = changes.merge(held, source, list(dict.fromkeys([*keys, partition])), **rules)
+    overwrite_partitions(merged, path, [partition])
+    return touched
+
+
 def single_csv(df: DataFrame, path: str) -> None:
     """One file for people to read; hand it statements, not tables."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

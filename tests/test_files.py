@@ -133,6 +133,23 @@ def test_partner_slice_leaves_the_others(spark, tmp_path):
     assert {(r.partner_code, r.n) for r in spark.read.parquet(path).collect()} == {("A", 9), ("B", 2)}
 
 
+def test_merge_rewrites_touched_partitions_only(spark, events, tmp_path):
+    from lakeops.operators import changes
+    path = str(tmp_path / "m")
+    table = events.select("event_id", "ts", "value", "dt")
+    K.overwrite(table, path, ["dt"])
+    before = set(data_files(path))
+    batch = table.where("dt IN ('2024-01-02', '2024-01-05')").withColumns(
+        {"value": F.lit(-1.0), "ts": F.col("ts") + F.expr("INTERVAL 1 SECOND")}).unionByName(
+        table.where("dt = '2024-01-02'").limit(2).withColumn("event_id", F.col("event_id") + 1_000_000))
+    want = rows(changes.merge(table, batch, ["event_id", "dt"], newer=("ts", "ts")))
+    assert len(K.merge_into(path, batch, ["event_id"], "dt", newer=("ts", "ts"))) == 2
+    assert rows(spark.read.parquet(path).select(*table.columns)) == want
+    kept = {f for f in before if "2024-01-02" not in f and "2024-01-05" not in f}
+    assert kept <= set(data_files(path))
+    assert K.merge_into(path, batch.limit(0), ["event_id"], "dt") == []
+
+
 def test_tables_ctas_and_partitioned(spark, events):
     for name in ("t_replace", "t_ctas", "t_parts"):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
