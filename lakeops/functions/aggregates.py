@@ -39,6 +39,11 @@ def category_matrix(category: Column | str, values: Sequence[str], days_ago: Col
     ]
 
 
+def exact_mean(c: Column | str) -> Column:
+    """Mean of a decimal column as one double division, without an intermediate rounding."""
+    return F.sum(col(c)).cast("double") / F.count(col(c))
+
+
 def trend(short: str, long: str, short_days: int, long_days: int, digits: int = 4) -> Column:
     """Recent daily rate over the long-run daily rate; NULL when the long window is empty."""
     return safe_ratio(F.col(short).cast("double") / short_days, F.col(long).cast("double") / long_days, digits)

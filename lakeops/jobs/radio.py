@@ -41,13 +41,14 @@ def sigma_anomalies(daily: DataFrame, keys: Sequence[str], day: str, value: str,
                     sigma: float = 3.0) -> DataFrame:
     """Values above mean + sigma * stddev of the key's own previous days.
 
-    One row per key and day goes in, so a key's window holds at most its days.
+    The limit is rounded to nine decimals, so a value that lies on it is judged the
+    same whatever the order of summation. One row per key and day goes in, so a key's window holds at most its days.
     """
     w = Window.partitionBy(*keys).orderBy(F.unix_date(F.col(day))).rangeBetween(-days, -1)
     mean, sd = F.avg(value).over(w), F.stddev(value).over(w)
     return daily.withColumns({"baseline_days": F.count("*").over(w), "baseline_mean": mean, "baseline_sd": sd}).withColumn(
         "anomalous", (F.col("baseline_sd") > 0)
-        & (F.col(value) > F.col("baseline_mean") + sigma * F.col("baseline_sd")))
+        & (F.col(value) > F.round(F.col("baseline_mean") + sigma * F.col("baseline_sd"), 9)))
 
 
 def anomaly_summary(scored: DataFrame, day: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions import scalar as C
-from lakeops.functions.aggregates import suppress_small
+from lakeops.functions.aggregates import exact_mean, suppress_small
 from lakeops.operators import joins as J
 from lakeops.operators import windows as W
 
@@ -78,4 +78,4 @@ def lead_times(hours: DataFrame, events: DataFrame, key: str = "icustay_id", loo
 def ward_summary(readings: DataFrame, unit: str, ts: str, member: str, value: str, k: int = 5) -> DataFrame:
     """Care unit by hour of day; cells with fewer than ``k`` people are left out."""
     return suppress_small(readings.withColumn("hour_of_day", F.hour(F.col(ts))), [unit, "hour_of_day"], member, k,
-                          F.avg(value).alias("mean_value"), F.count(value).alias("readings"))
+                          exact_mean(value).alias("mean_value"), F.count(value).alias("readings"))

@@ -121,7 +121,7 @@ def e3(t):
     WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2),
     b AS (SELECT *, avg(n) OVER w AS mean, stddev_samp(n) OVER w AS sd FROM d
           WINDOW w AS (PARTITION BY user_id ORDER BY day RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
-    SELECT day, CAST(count(*) AS BIGINT) AS cells, CAST(count(*) FILTER (WHERE sd > 0 AND n > mean + 3 * sd) AS BIGINT) AS anomalous_cells FROM b GROUP BY 1""")
+    SELECT day, CAST(count(*) AS BIGINT) AS cells, CAST(count(*) FILTER (WHERE sd > 0 AND n > round(mean + 3 * sd, 9)) AS BIGINT) AS anomalous_cells FROM b GROUP BY 1""")
 def e16(t):
     daily = t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
     return radio.anomaly_summary(radio.sigma_anomalies(daily, ["user_id"], "day", "n"), "day")

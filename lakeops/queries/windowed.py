@@ -386,7 +386,7 @@ def w23(t):
     WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2),
     b AS (SELECT *, count(*) OVER w AS days, avg(n) OVER w AS mean, stddev_samp(n) OVER w AS sd FROM d
           WINDOW w AS (PARTITION BY user_id ORDER BY day RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
-    SELECT user_id, day, n, sd > 0 AND n > mean + 2 * sd AS anomalous FROM b WHERE days >= 5""")
+    SELECT user_id, day, n, sd > 0 AND n > round(mean + 2 * sd, 9) AS anomalous FROM b WHERE days >= 5""")
 def w24(t):
     from lakeops.jobs.radio import sigma_anomalies
     d = t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))

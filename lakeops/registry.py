@@ -31,5 +31,5 @@ def query(name: str, sql: str | None = None):
 
 
 def half_up(expr: str, digits: int) -> str:
-    """DuckDB text that rounds a double the way Spark does (decimal, half up)."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,{min(12, digits + 6)})), {digits}) AS DOUBLE)"
+    """DuckDB text that rounds a double the way Spark does: its shortest decimal form, half up."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"

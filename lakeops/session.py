@@ -36,6 +36,13 @@ def build_session(app_name: str, cores: int | str = "*") -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Start shuffles with partitions of about the target size; adaptive execution merges the small ones."""
+    n = max(spark.sparkContext.defaultParallelism, -(-int(input_bytes) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names; choose one only where none is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
