@@ -112,6 +112,11 @@ def mbps(total_bytes: Column | str, seconds: int) -> Column:
     return col(total_bytes) * 8 / F.lit(1_000_000) / F.lit(float(seconds))
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket 0..buckets-1 by a hash of the keys; the same row lands in the same bucket on every run."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 def stable_fraction(keys: Sequence[str], salt: str = "") -> Column:
     """A number in [0, 1) that depends on the key values only, not on the partitioning."""
     text = F.concat_ws("|", F.lit(salt), *[F.col(k).cast("string") for k in keys])

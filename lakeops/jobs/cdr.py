@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions import scalar as C
 from lakeops.operators import changes, windows
+from lakeops.operators.joins import broadcast_if_small
 from lakeops.sinks.writers import by_partition_keys
 from lakeops.sources.readers import late_window
 
@@ -17,7 +18,7 @@ def mediate(raw: DataFrame, tariffs: DataFrame, market: str, run_date: str, late
     """Rated records of the reprocessing window, one per ``cdr_id``.
 
     ``tariffs`` (market, service_type, tariff_plan_id, billing_increment_sec,
-    unit_rate) is a price list; Spark broadcasts it while it is under the threshold.
+    unit_rate) is a price list; it is broadcast if its count allows.
     """
     start, end = late_window(run_date, late_hours)
     window = raw.where((F.col("event_ts") >= F.lit(start).cast("timestamp"))
@@ -29,7 +30,8 @@ def mediate(raw: DataFrame, tariffs: DataFrame, market: str, run_date: str, late
         "duration_sec": F.col("duration_sec").cast("int")})
     flagged = typed.withColumn("quality_flag", C.call_quality("duration_sec", "b_number")).withColumn(
         "duration_sec", F.greatest("duration_sec", F.lit(0)))
-    rated = flagged.join(tariffs.where(F.col("market") == market), ["market", "service_type", "tariff_plan_id"], "left")
+    prices = broadcast_if_small(tariffs.where(F.col("market") == market))
+    rated = flagged.join(prices, ["market", "service_type", "tariff_plan_id"], "left")
     units = C.metered_units("service_type", "duration_sec", "billing_increment_sec", "bytes_total")
     return (rated.withColumn("charged_units", units)
             .withColumn("charge_amount", F.round(F.col("charged_units") * F.coalesce("unit_rate", F.lit(0.0)), 5))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import scans as S
 from lakeops.operators import windows as W
+from lakeops.session import ensure_checkpoint_dir
 
 HOUR = 3_600_000_000     # microseconds
 
@@ -46,6 +47,9 @@ def elasticity(events: DataFrame, catalog: DataFrame, hot: S.HotKeys, *, thresho
     """
     changes = price_changes(catalog, threshold, "effective_start").select(
         "product", "effective_start", "price", "prev_price", "pct_change")
+    # read three times below: a row per price change, found in all events
+    ensure_checkpoint_dir(changes.sparkSession)
+    changes = changes.checkpoint()
     bought = events.where(F.col("event_type") == kind).select(
         "product", "ts", F.col("price").alias("seen"), F.lit(1).alias("n"))
     start, at = F.unix_micros("effective_start"), F.unix_micros("ts")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalar import mbps, safe_ratio
+from lakeops.operators.joins import broadcast_if_small
 
 # The canonical counters; the output schema never depends on the data.
 COUNTERS = ["rrc_attempts", "rrc_success", "call_attempts", "call_drops", "ho_attempts", "ho_success",
@@ -19,16 +20,16 @@ WINDOW_SECONDS = 900
 def cell_kpis(counters: DataFrame, mapping: DataFrame, topology: DataFrame | None,
               window_seconds: int = WINDOW_SECONDS) -> DataFrame:
     """One row per window and cell: ratios of summed counters, never means of ratios."""
+    names = mapping.select(F.col("vendor").alias("__v"), F.col("vendor_counter").alias("__c"), "canonical_counter")
     canonical = counters.join(
-        mapping.select(F.col("vendor").alias("__v"), F.col("vendor_counter").alias("__c"), "canonical_counter"),
-        (F.col("vendor") == F.col("__v")) & (F.col("counter_name") == F.col("__c")))
+        broadcast_if_small(names), (F.col("vendor") == F.col("__v")) & (F.col("counter_name") == F.col("__c")))
     start = F.timestamp_seconds(F.floor(F.unix_seconds("counter_ts") / window_seconds) * window_seconds)
     wide = (canonical.groupBy(start.alias("window_start"), "cell_id").pivot("canonical_counter", COUNTERS)
             .agg(F.sum("counter_value")).na.fill(0, COUNTERS))
     total = F.col("dl_bytes") + F.col("ul_bytes")
     kpis = wide.withColumns({name: safe_ratio(a, b, 4, 100.0) for name, (a, b) in RATES.items()}).withColumns({
         "total_bytes": total, "throughput_mbps": F.round(mbps(total.cast("double"), window_seconds), 3)})
-    return kpis if topology is None else kpis.join(topology, "cell_id", "left")
+    return kpis if topology is None else kpis.join(broadcast_if_small(topology), "cell_id", "left")
 
 
 def for_window(counters: DataFrame, start: str, end: str) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.scans import MAX_GROUP_ROWS, exact_percentiles
@@ -21,11 +21,11 @@ def _long(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
     return df.select(F.inline(pairs))
 
 
-def _index(cells: DataFrame) -> DataFrame:
+def _index(cells: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Index from one row per feature and bin with counts ``e``, ``a`` and totals ``en``, ``an``."""
     pct = lambda n, total: F.greatest(F.col(n) / F.col(total).cast("double"), F.lit(EPSILON))
     e, a = pct("e", "en"), pct("a", "an")
-    return cells.groupBy("feature", "en", "an").agg(F.sum((a - e) * F.ln(a / e)).alias("psi"))
+    return cells.groupBy("feature", "en", "an", *keep).agg(F.sum((a - e) * F.ln(a / e)).alias("psi"))
 
 
 def frozen_edges(base: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -60,9 +60,9 @@ def numeric_psi(baseline: DataFrame, today: DataFrame, columns: Sequence[str],
     every = edges.select("feature", "n_edges", F.explode(F.sequence(F.lit(0), F.size("inner"))).alias("bin"))
     cells = (every.join(counted(base, "e"), ["feature", "bin"], "left")
              .join(counted(now, "a"), ["feature", "bin"], "left").na.fill(0, ["e", "a"]))
-    totals = cells.groupBy("feature", "n_edges").agg(F.sum("e").alias("en"), F.sum("a").alias("an"))
-    scored = _index(cells.join(totals.drop("n_edges"), "feature")).join(
-        totals.select("feature", "n_edges"), "feature")
+    # a feature has at most BINS cells
+    feature = Window.partitionBy("feature")
+    scored = _index(cells.withColumns({"en": F.sum("e").over(feature), "an": F.sum("a").over(feature)}), ["n_edges"])
     psi = F.when((F.col("en") >= MIN_ROWS) & (F.col("an") >= MIN_ROWS),
                  F.when(F.col("n_edges") < 3, F.lit(0.0)).otherwise(F.col("psi")))
     return scored.select("feature", F.lit("numeric").alias("kind"), psi.alias("psi"))

@@ -64,7 +64,9 @@ def complete_month(df: DataFrame, day: str, month: str) -> DataFrame:
 
 def lookup_coverage(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Keys with no lookup row are counted before any default can hide them."""
-    missing = df.join(lookup.select(key).distinct(), key, "left_anti").agg(F.count("*").alias("missing_rows"))
+    from lakeops.operators.joins import broadcast_if_small
+    known = broadcast_if_small(lookup.select(key).distinct())
+    missing = df.join(known, key, "left_anti").agg(F.count("*").alias("missing_rows"))
     return _verdict(missing, "lookup_coverage", F.col("missing_rows") == 0)
 
 

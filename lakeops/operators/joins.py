@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.scalar import bucket_of
 from lakeops.operators import scans as S
 from lakeops.session import ensure_checkpoint_dir
 
@@ -137,7 +138,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
         raise ValueError(f"salted join supports inner, left and full, not {how}")
     keys = list(keys)
     marked = hot.select(*keys, F.lit(True).alias("__hot")).distinct()
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(buckets)).cast("int")
+    spread = bucket_of(left.columns, buckets)
     lhs = left.join(marked, keys, "left").withColumn(
         "__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))).drop("__hot")
     copies = F.explode(F.when(F.col("__hot"), F.array(*[F.lit(i) for i in range(buckets)]))
@@ -160,34 +161,35 @@ def tolerance_match(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], dur
     """Pair the legs of two ledgers on their key and name the status of every leg.
 
     Legs with the same key are numbered on both sides by duration and paired by
-    number, so a key with n legs on one side gives n pairs, not n times m; the
-    number also spreads a hot key over the join's tasks. Columns that are not keys
-    come back as ``our_*`` and ``their_*``.
+    number, so a key with n legs on one side gives n pairs, not n times m. Both
+    sides are stacked: one shuffle by the key serves the numbering and the pairing.
+    Columns that are not keys come back as ``our_*`` and ``their_*``.
     """
     keys = list(keys)
-
     pos = F.coalesce(F.col(duration).cast("double"), F.lit(0.0))
-    legs = ours.select(*keys, duration).unionByName(theirs.select(*keys, duration))
-    hot = S.find_hot(legs, keys, pos, max_rows)
-
-    def numbered(df, order, prefix):
-        n = S.scan(df.withColumn("__pos", pos), keys, ["__pos", *order], [S.row_number("__leg")], hot,
-                   F.col("__pos")).drop("__pos")
-        return n.select(*keys, "__leg", F.lit(True).alias(f"__{prefix}"),
-                        *[F.col(c).alias(f"{prefix}_{c}") for c in df.columns if c not in keys])
-
-    both = numbered(ours, our_order, "our").join(numbered(theirs, their_order, "their"),
-                                                 [*keys, "__leg"], "full_outer")
+    sides = []
+    for n, (df, order, prefix) in enumerate(((ours, our_order, "our"), (theirs, their_order, "their"))):
+        sides.append(df.select(
+            *keys, F.lit(n).alias("__side"), pos.alias("__pos"), F.struct(*order).alias(f"__tie{n}"),
+            *[F.col(c).alias(f"{prefix}_{c}") for c in df.columns if c not in keys]))
+    stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    payload = [c for c in stacked.columns if c not in keys and not c.startswith("__")]
+    by_side = [*keys, "__side"]
+    hot = S.find_hot(stacked, by_side, F.col("__pos"), max_rows)
+    placed = stacked if hot else stacked.repartition(*[F.col(k) for k in keys])
+    numbered = S.scan(placed, by_side, ["__pos", "__tie0", "__tie1"], [S.row_number("__leg")], hot, F.col("__pos"))
+    pairs = numbered.groupBy(*keys, "__leg").agg(
+        F.max(F.col("__side") == 0).alias("__ours"), F.max(F.col("__side") == 1).alias("__theirs"),
+        *[F.max(c).alias(c) for c in payload])
     close = F.abs(F.col(f"our_{duration}") - F.col(f"their_{duration}")) <= tolerance
-    status = (F.when(F.col("__our").isNull(), "MISSING_ON_OUR_SIDE")
-              .when(F.col("__their").isNull(), "MISSING_ON_THEIR_SIDE")
+    status = (F.when(~F.col("__ours"), "MISSING_ON_OUR_SIDE").when(~F.col("__theirs"), "MISSING_ON_THEIR_SIDE")
               .when(close, "MATCHED").otherwise("DURATION_MISMATCH"))
-    return both.withColumn("match_status", status).drop("__leg", "__our", "__their")
+    return pairs.withColumn("match_status", status).drop("__leg", "__ours", "__theirs")
 
 
 def convert_currency(df: DataFrame, rates: DataFrame, amount: str, currency: str, out: str) -> DataFrame:
     """Amount times the rate of its currency; the missing rate stays visible in ``rate_missing``."""
-    joined = df.join(rates, currency, "left")
+    joined = df.join(broadcast_if_small(rates), currency, "left")
     return (joined.withColumn("rate_missing", F.col("rate").isNull())
             .withColumn(out, F.round(F.col(amount) * F.coalesce(F.col("rate"), F.lit(1)), 5)).drop("rate"))
 

@@ -44,14 +44,14 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names; choose one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if named and current is None:
-        spark.sparkContext.setCheckpointDir(named)
-    elif current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeops-checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
+    """The shared folder the cluster names; a temporary one only in local mode with none set."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lakeops-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

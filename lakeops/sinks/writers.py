@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.scalar import bucket_of
+
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole data set."""
@@ -90,7 +92,7 @@ def by_partition_keys(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str]
     """
     salt: list[Column] = []
     if salt_buckets > 1:
-        salt = [F.pmod(F.xxhash64(*(salt_on or df.columns)), F.lit(salt_buckets))]
+        salt = [bucket_of(list(salt_on or df.columns), salt_buckets)]
     out = df.repartition(*[F.col(k) for k in keys], *salt)
     return out.sortWithinPartitions(*sort_by) if sort_by else out
 

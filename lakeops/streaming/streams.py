@@ -3,10 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeops.operators.windows import latest_wins
+from lakeops.sinks.writers import merge_into, overwrite_partitions
+
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 files_per_batch: int | None = None) -> DataFrame:
@@ -25,6 +29,26 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return q
 
 
+def upsert_each(path: str, keys: Sequence[str], partition: str, order: Sequence[str],
+                newer: tuple[str, str]) -> Callable[[DataFrame, int], None]:
+    """Batch function that merges late and corrected rows into a partitioned data set.
+
+    A batch is collapsed to its last row per key, and a stored row gives way only to
+    a newer one, so a batch that runs twice changes nothing.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        last = latest_wins(batch, [*keys, partition], [F.col(c).desc() for c in order])
+        try:
+            batch.sparkSession.read.parquet(path)
+        except AnalysisException:
+            overwrite_partitions(last, path, [partition])      # first batch
+            return
+        merge_into(path, last, keys, partition, newer=newer)
+
+    return each
+
+
 def tumbling(stream: DataFrame, ts: str, window: str, late: str, keys: Sequence[str],
              aggs: dict[str, Column]) -> DataFrame:
     return (stream.withWatermark(ts, late).groupBy(F.window(ts, window).alias("w"), *keys).agg(*_named(aggs))

@@ -113,6 +113,16 @@ def test_bad_partner_file_is_refused(spark, tmp_path):
         dialects.ingest_partner(spark, str(tmp_path / "empty.csv"), "csv_v1", "DTAG", "EUR", "2026-09-03")
 
 
+def test_partner_ingest_replaces_its_own_slice(spark, tmp_path):
+    (tmp_path / "v1.csv").write_text("1,2,03092026,101500,75,2,12.5\n3,4,03092026,101600,5,1,0.5\n")
+    legs = dialects.ingest_partner(spark, str(tmp_path / "v1.csv"), "csv_v1", "DTAG", "EUR", "2026-09-03")
+    keys = ["settlement_date", "partner_code"]
+    for _ in range(2):
+        K.overwrite_partitions(legs, str(tmp_path / "out"), keys)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 2 and {r.currency for r in got.collect()} == {"EUR"}
+
+
 # ------------------------------------------------------------------ sinks
 def test_partition_overwrite_is_idempotent_and_local(spark, events, tmp_path):
     path = str(tmp_path / "p")
@@ -186,6 +196,9 @@ def test_write_distribution(spark, events, tmp_path):
     K.overwrite(spread, scattered, ["dt"])
     K.overwrite(K.by_partition_keys(spread, ["dt"], ["user_id"]), grouped, ["dt"])
     assert len(data_files(grouped)) == events.select("dt").distinct().count() < len(data_files(scattered))
+    from lakeops.functions.scalar import bucket_of
+    placed = events.select(bucket_of(["user_id"], 4).alias("b"), "user_id").distinct()
+    assert placed.groupBy("user_id").count().where("count > 1").count() == 0 and placed.where("b NOT BETWEEN 0 AND 3").count() == 0
     salted = K.by_partition_keys(spread, ["dt"], salt_buckets=4, salt_on=["event_id"])
     assert rows(salted) == rows(events)
     assert "rand(" not in inspect.plan_text(salted, "simple")

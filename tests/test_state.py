@@ -232,6 +232,22 @@ def test_micro_batches_rerun_without_duplicates(spark, landed):
     assert spark.read.parquet(str(tmp / "out")).count() == events.count()
 
 
+def test_late_rows_are_merged_by_batch(spark, landed):
+    events, path, tmp = landed
+    keyed = events.withColumn("dt", F.to_date("ts"))
+    src = str(tmp / "src")
+    keyed.coalesce(1).write.parquet(src)
+    corrected = keyed.where("event_type = 'click'").withColumns({"value": F.lit(-1.0), "ts": F.col("ts") + F.expr("INTERVAL 1 SECOND")})
+    stale = keyed.where("event_type = 'view'").withColumns({"value": F.lit(-2.0), "ts": F.col("ts") - F.expr("INTERVAL 1 SECOND")})
+    corrected.unionByName(stale).coalesce(1).write.mode("append").parquet(src)
+    each = streams.upsert_each(str(tmp / "state"), ["event_id"], "dt", ["ts"], ("ts", "ts"))
+    for checkpoint in ("c1", "c2"):          # the second run replays every batch
+        streams.run_available(streams.file_stream(spark, src, keyed.schema, files_per_batch=1), str(tmp / checkpoint), each)
+        got = spark.read.parquet(str(tmp / "state"))
+        assert got.count() == events.count() and got.where("value = -2.0").count() == 0
+        assert got.where("value = -1.0").count() == events.where("event_type = 'click'").count()
+
+
 def run(spark, df, tmp, name, mode="complete"):
     q = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", str(tmp / name)).trigger(availableNow=True).start()
     q.awaitTermination()
