@@ -142,7 +142,7 @@ def funnel(df: DataFrame, keys: Sequence[str], kind: str, steps: Sequence[str])
 def response_curve(df: DataFrame, keys: Sequence[str], x: str, y: str, width: float = 1.0) -> DataFrame:
     """Mean of ``y`` per bin of ``x``, the bin with the lowest mean, and the slope on either side of it."""
     bins = df.groupBy(*keys, (F.floor(F.col(x) / width) * width).alias("bin")).agg(
-        F.avg(y).cast("double").alias("mean_y"))
+        exact_mean(y).alias("mean_y"))
     low = bins.groupBy(*keys).agg(F.min(F.struct("mean_y", "bin")).alias("m")).select(
         *keys, F.col("m.bin").alias("inflection"), F.col("m.mean_y").alias("lowest"))
     joined = bins.join(low, list(keys))

@@ -47,5 +47,7 @@ def with_weather(clean: DataFrame, weather: DataFrame) -> DataFrame:
     return clean.join(J.broadcast_if_small(weather), F.date_trunc("hour", "slot") == F.col("weather_hour"), "left")
 
 
-def weather_response(load: DataFrame, group: str, temperature: str = "temperature", kwh: str = "kwh") -> DataFrame:
-    return response_curve(load, [group], temperature, kwh)
+def weather_response(load: DataFrame, group: str, temperature: str = "temperature", kwh: str = "kwh",
+                     degrees: float = 1.0) -> DataFrame:
+    """Mean load per temperature bin and group: the lowest point and the slope on either side of it."""
+    return response_curve(load, [group], temperature, kwh, degrees)

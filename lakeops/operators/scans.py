@@ -246,16 +246,16 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
         w = Window.partitionBy(*keys).orderBy(*order)
         running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({s.name: _widened(s, _local(s, w, running)) for s in specs})
-    parts = with_segment(df, hot, pos)
     w = Window.partitionBy(*keys, SEG).orderBy(*order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outputs = {s.name: _local(s, w, running) for s in specs}
     outputs["__rn"] = F.row_number().over(w)
-    local = parts.withColumns(outputs)
+    scanned = lambda rows: with_segment(rows, hot, pos).withColumns(outputs)
+    local = scanned(df)
     # Only cut keys hand anything on: at most two rows per 1 / MAX_HOT_KEYS of the data.
-    cut = local if hot.table is None else keyed_join(local, hot.table.select(*keys), keys, "left_semi", small=True)
+    cut = df if hot.table is None else keyed_join(df, hot.table.select(*keys), keys, "left_semi", small=True)
     handed = (
-        cut.groupBy(*keys, SEG)
+        scanned(cut).groupBy(*keys, SEG)
         .agg(*[_handed_on(s).alias(s.name) for s in specs], F.max("__rn").alias("__size"))
     )
     along = Window.partitionBy(*keys).orderBy(SEG)

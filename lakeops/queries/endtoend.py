@@ -4,11 +4,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.functions import scalar as C
-from lakeops.functions.aggregates import response_curve
 from lakeops.jobs import cdr, churn, clicks, coldchain, ledger, meters, metrics, orders, radio, settlement, vitals
 from lakeops.jobs import erasure as erasure_job
 from lakeops.operators import scans as S
-from lakeops.operators import windows as W
 from lakeops.queries.aggregates import PRICE, TOTAL
 from lakeops.queries.joined import IV
 from lakeops.queries.projections import NET, RAW_READING, raw_reading
@@ -574,6 +572,23 @@ def e20_outages(t):
     return meters.outages(readings(t), 21_600).select("meter_id", C.stamp("run_start").alias("outage_start"), "slots", "concurrent_meters", "classification")
 
 
+@query("E20_response_curve", f"""
+    WITH {METERS}, w AS (SELECT date_trunc('hour', ts) AS h, max(value) AS temp FROM events WHERE event_type = 'view' GROUP BY 1),
+    b AS (SELECT block, floor(temp / 20) * 20 AS bin, CAST(sum(CAST(kwh AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS y
+          FROM clean JOIN w ON date_trunc('hour', slot) = h WHERE kwh IS NOT NULL GROUP BY 1, 2),
+    m AS (SELECT block, bin AS inflection, y AS lowest FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY y, bin) AS rn FROM b) WHERE rn = 1)
+    SELECT b.block, CAST(max(inflection) AS DOUBLE) AS inflection, {half_up("max(lowest)", 4)} AS lowest, CAST(count(*) AS BIGINT) AS bins,
+           {half_up("regr_slope(CASE WHEN bin >= inflection THEN y END, CASE WHEN bin >= inflection THEN bin END)", 4)} AS slope_above
+    FROM b JOIN m ON b.block = m.block GROUP BY 1""")
+def e20_curve(t):
+    weather = t.events.where("event_type = 'view'").groupBy(F.date_trunc("hour", "ts").alias("weather_hour")).agg(F.max("value").alias("temperature"))
+    load = meters.with_weather(readings(t), weather).where("energy_kwh IS NOT NULL AND temperature IS NOT NULL").withColumn(
+        "kwh", F.col("energy_kwh").cast("decimal(18,4)"))
+    c = meters.weather_response(load, "block", degrees=20.0)
+    return c.select("block", C.as_double("inflection", "inflection"), F.round("lowest", 4).alias("lowest"), "bins",
+                    F.round("slope_above", 4).alias("slope_above"))
+
+
 @query("E20_weather_response", f"""
     WITH {METERS}, w AS (SELECT date_trunc('hour', ts) AS h, max(value) AS temp FROM events WHERE event_type = 'view' GROUP BY 1)
     SELECT CAST(count(*) AS BIGINT) AS readings, CAST(count(temp) AS BIGINT) AS with_weather FROM clean LEFT JOIN w ON date_trunc('hour', slot) = h""")

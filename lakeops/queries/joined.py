@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from lakeops.functions import scalar as C
 from lakeops.operators import joins as J
 from lakeops.operators import scans as S
-from lakeops.operators import windows as W
 from lakeops.queries.aggregates import PRICE, RUN, TOTAL
 from lakeops.queries.projections import NET
 from lakeops.queries.windowed import HISTORY, OUTAGES, history, outages, ts

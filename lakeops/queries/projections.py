@@ -1,11 +1,9 @@
 """Projections, predicates, scalar functions and set operations (P, F, U, O)."""
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeops.functions import scalar as C
-from lakeops.operators import scans as S
 from lakeops.operators import setops
 from lakeops.registry import half_up, query
 

@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 from lakeops.functions import scalar as C
 from lakeops.jobs import erasure as erasure_job
 from lakeops.operators import changes, drift, erasure, evolve, gates
-from lakeops.operators import scans as S
 from lakeops.operators import versions as V
-from lakeops.operators.windows import latest_wins
 from lakeops.queries.aggregates import DAILY, PRICE, TOTAL, daily_summary
 from lakeops.queries.windowed import ts
 from lakeops.registry import half_up, query

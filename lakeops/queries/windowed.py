@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from lakeops.functions import scalar as C
 from lakeops.operators import scans as S
 from lakeops.operators import windows as W
-from lakeops.queries.aggregates import TOTAL
 from lakeops.registry import half_up, query
 
 DAY = 86_400

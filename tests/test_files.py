@@ -1,8 +1,6 @@
 """Sources, sinks and layout jobs against real files."""
 import glob
 import json
-import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
