@@ -578,7 +578,8 @@ def e20_outages(t):
           FROM clean JOIN w ON date_trunc('hour', slot) = h WHERE kwh IS NOT NULL GROUP BY 1, 2),
     m AS (SELECT block, bin AS inflection, y AS lowest FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY y, bin) AS rn FROM b) WHERE rn = 1)
     SELECT b.block, CAST(max(inflection) AS DOUBLE) AS inflection, {half_up("max(lowest)", 4)} AS lowest, CAST(count(*) AS BIGINT) AS bins,
-           {half_up("regr_slope(CASE WHEN bin >= inflection THEN y END, CASE WHEN bin >= inflection THEN bin END)", 4)} AS slope_above
+           CASE WHEN count(*) FILTER (WHERE bin >= inflection) > 1 THEN
+             {half_up("regr_slope(CASE WHEN bin >= inflection THEN y END, CASE WHEN bin >= inflection THEN bin END)", 4)} END AS slope_above
     FROM b JOIN m ON b.block = m.block GROUP BY 1""")
 def e20_curve(t):
     weather = t.events.where("event_type = 'view'").groupBy(F.date_trunc("hour", "ts").alias("weather_hour")).agg(F.max("value").alias("temperature"))
