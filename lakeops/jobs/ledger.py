@@ -36,13 +36,15 @@ def velocity_alerts(ledger: DataFrame, opening: DataFrame, row_id: Sequence[str]
                     critical: float = 1.00) -> DataFrame:
     """Rolling outflow against the day's opening balance.
 
-    The window runs over the account, so it sees across midnight; the day only
-    picks the opening balance.
+    The window runs over the account and currency, so it sees across midnight; the
+    day only picks the opening balance of that currency. ``hot`` is by account and
+    currency.
     """
     out = ledger.where(~F.col("is_deleted") & F.col("tx_type").isin(OUTFLOWS))
-    rolled = W.rolling_sum(out, ["account_id"], "event_timestamp", "amount", window_seconds, row_id, hot, "rolling_outflow")
+    rolled = W.rolling_sum(out, ["account_id", "currency"], "event_timestamp", "amount", window_seconds, row_id, hot, "rolling_outflow")
     day = rolled.withColumn("business_date", F.to_date("event_timestamp"))
-    joined = day.join(opening.select("account_id", "business_date", "opening_balance"), ["account_id", "business_date"])
+    keys = ["account_id", "currency", "business_date"]
+    joined = day.join(opening.select(*keys, "opening_balance"), keys)
     share = F.col("rolling_outflow").cast("double") / F.col("opening_balance").cast("double")
     alerts = joined.where(F.col("opening_balance") > 0).withColumn("pct_of_opening", share).where(
         F.col("pct_of_opening") >= medium)

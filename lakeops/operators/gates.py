@@ -53,9 +53,9 @@ def parse_failures(df: DataFrame, columns: Sequence[str], max_ratio: float = 0.0
     return _verdict(counted, "parse_failures", ok)
 
 
-def complete_month(df: DataFrame, day: str, month: str) -> DataFrame:
-    """Every calendar day of ``month`` (YYYY-MM) is present."""
-    days = calendar.monthrange(int(month[:4]), int(month[5:7]))[1]
+def complete_month(df: DataFrame, day: str, month: str, expected: int | None = None) -> DataFrame:
+    """Every calendar day of ``month`` (YYYY-MM) is present, or as many days as are ``expected``."""
+    days = calendar.monthrange(int(month[:4]), int(month[5:7]))[1] if expected is None else expected
     start = F.lit(month + "-01").cast("date")
     got = df.where((F.col(day) >= start) & (F.col(day) < F.add_months(start, 1))).agg(
         F.countDistinct(F.to_date(F.col(day))).alias("days_present")).withColumn("days_expected", F.lit(days))
@@ -84,10 +84,15 @@ def column_checks(df: DataFrame, rules: Sequence[tuple[str, str, float | None]])
     """
     exprs = {
         "null": lambda c: F.count_if(F.col(c).isNull()),
-        "unique": lambda c: F.count(c) - F.countDistinct(c),
         "min": lambda c: F.min(c), "max": lambda c: F.max(c),
     }
-    measured = df.agg(*[exprs[kind](c).cast("double").alias(f"m{i}") for i, (c, kind, _) in enumerate(rules)])
+    measured = df.agg(F.lit(0), *[exprs[kind](c).cast("double").alias(f"m{i}") for i, (c, kind, _) in enumerate(rules) if kind != "unique"])
+    for i, (c, kind, _) in enumerate(rules):
+        if kind == "unique":
+            # folded per column: several distinct counts in one aggregate would copy every row
+            repeats = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n")).agg(
+                F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("double"))
+            measured = measured.withColumn(f"m{i}", repeats.scalar())
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kind).alias("check"),
                               F.lit(float(bound)).alias("bound"), F.col(f"m{i}").alias("measured"))
                      for i, (c, kind, bound) in enumerate(rules)])

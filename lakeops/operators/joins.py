@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +36,14 @@ def interval_join(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], t
     """Inner join of each fact with the interval [start, end) of its key that holds its time.
 
     ``carry`` (default) wants non-overlapping intervals and is linear in the rows;
-    ``broadcast`` ships a small interval table and falls back to ``carry``;
-    ``grid`` turns the range into an equality on time cells and keeps the exact
-    range as a residual. An open end is NULL.
+    ``broadcast`` ships a small interval table and goes over to ``grid`` beyond the
+    limit; ``grid`` turns the range into an equality on time cells and keeps the
+    exact range as a residual. Both of these give every interval that holds the
+    fact, so they agree on overlapping intervals. An open end is NULL.
     """
     if method == "broadcast":
         if not is_small(intervals, max_rows):
-            return interval_join(facts, intervals, keys, ts, start, end, columns, hot)
+            return _grid_join(facts, intervals, keys, ts, start, end, columns, cell_seconds)
         slim = F.broadcast(intervals.select(*keys, start, end, *columns))
         return facts.join(slim, list(keys)).where(_holds(ts, start, end)).drop(start, end)
     if method == "grid":
@@ -137,10 +139,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     if how not in ("inner", "left", "full"):
         raise ValueError(f"salted join supports inner, left and full, not {how}")
     keys = list(keys)
-    marked = hot.select(*keys, F.lit(True).alias("__hot")).distinct()
+    # hot keys number at most rows / threshold, so the marker goes to the rows and not the rows to it
+    marked = F.broadcast(hot.select(*keys, F.lit(True).alias("__hot")).distinct())
     spread = bucket_of(left.columns, buckets)
+    # rows with a NULL key match nothing; they are spread, too, instead of meeting in one task
+    unmatched_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     lhs = left.join(marked, keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))).drop("__hot")
+        "__salt", F.when(F.col("__hot") | unmatched_key, spread).otherwise(F.lit(0))).drop("__hot")
     copies = F.explode(F.when(F.col("__hot"), F.array(*[F.lit(i) for i in range(buckets)]))
                        .otherwise(F.array(F.lit(0))))
     rhs = right.join(marked, keys, "left").withColumn("__salt", copies).drop("__hot")

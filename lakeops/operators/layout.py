@@ -40,65 +40,83 @@ def target_partitions(total_bytes: int, target_bytes: int) -> int:
     return max(1, -(-int(total_bytes) // int(target_bytes)))
 
 
-def _size(spark: SparkSession, path: str) -> tuple[int, int]:
-    files = spark.read.parquet(path).select(F.col(FILE).alias("f"), F.col("_metadata.file_size").alias("b"))
-    row = files.groupBy("f").agg(F.max("b").alias("b")).agg(F.count("*").alias("n"), F.sum("b").alias("s")).first()
-    return row["n"], row["s"] or 0
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """Files and bytes per partition folder ("" for a flat data set), from a listing: no data is read."""
+    inside = F.regexp_extract("path", r"((?:/[^/=]+=[^/]*)*)/[^/]*$", 1)
+    return listed_files(spark, path).groupBy(inside.alias("folder")).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
 def compact(spark: SparkSession, path: str, out: str, *, target_bytes: int = 512 * 1024 * 1024,
             min_input_files: int = 5, strategy: str = "binpack", columns: Sequence[str] = (),
             rewrite_all: bool = False) -> dict:
-    """Rewrite a data set into files near the target size, to a new folder.
+    """Rewrite a data set into files near the target size, to a new folder with the same partition folders.
 
     ``binpack`` merges, ``sort`` clusters by the columns, ``zorder`` clusters by all
-    of them at once. A data set with few files is left alone unless ``rewrite_all``.
-    Returns the counts; swapping ``out`` in is the caller's step.
+    of them at once, each within a partition. A data set with few files is left
+    alone unless ``rewrite_all``. Sizes come from the file listing. Returns the
+    counts; swapping ``out`` in is the caller's step.
     """
-    files, size = _size(spark, path)
+    folders = _listing(spark, path)
+    total = folders.agg(F.sum("files").alias("n"), F.sum("bytes").alias("s"), F.max("folder").alias("f"),
+                        F.sum(F.ceil(F.col("bytes") / target_bytes)).alias("out")).first()
+    files = total["n"] or 0
     if files < min_input_files and not rewrite_all:
         return {"rewritten": False, "files_before": files, "files_after": files}
-    n = target_partitions(size, target_bytes)
+    parts = [p.split("=")[0] for p in (total["f"] or "").split("/") if p]
+    n = target_partitions(total["s"], target_bytes)
     df = spark.read.parquet(path)
-    if strategy == "binpack":
+    if strategy == "binpack" and not parts:
         done = df.coalesce(n) if n < files else df.repartition(n)
+    elif strategy == "binpack":
+        done = df.repartitionByRange(max(n, total["out"]), *parts, F.xxhash64(*[c for c in df.columns if c not in parts]))
+        done = done.sortWithinPartitions(*parts)
     elif strategy == "sort":
-        done = df.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
+        done = df.repartitionByRange(n, *parts, *columns).sortWithinPartitions(*parts, *columns)
     elif strategy == "zorder":
-        done = zorder(df, columns, n)
+        done = zorder(df, columns, n, first=parts)
     else:
         raise ValueError(f"unknown strategy {strategy}")
-    done.write.mode("overwrite").parquet(out)
-    return {"rewritten": True, "files_before": files, "files_after": _size(spark, out)[0]}
+    writer = done.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*parts) if parts else writer).parquet(out)
+    return {"rewritten": True, "files_before": files, "files_after": _listing(spark, out).agg(F.sum("files")).first()[0]}
 
 
-def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 10) -> DataFrame:
+def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 10, first: Sequence[str] = ()) -> DataFrame:
     """Cluster by the interleaved bits of each column's rank bucket.
 
     The buckets come from approximate quantiles, so spread does not depend on the
-    value distribution: at most 2**bits numbers per column reach the plan.
+    value distribution: at most 2**bits numbers per column reach the plan. Strings
+    are compared whole: their cuts are the bounds of a range partitioning.
+    ``first`` columns lead the order, plainly sorted.
     """
     n = 2 ** bits
     probabilities = [i / n for i in range(1, n)]
-    cuts = df.agg(*[F.percentile_approx(_number(df, c), probabilities, 10_000).alias(c) for c in columns]).first()
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    cuts = df.agg(F.lit(0), *[F.percentile_approx(_number(df, c), probabilities, 10_000).alias(c) for c in numbers]).first().asDict()
+    cuts |= {c: _text_cuts(df, c) for c in texts}
     buckets = []
     for c in columns:
-        marks = sorted(set(cuts[c] or []))
+        marks = sorted(set(cuts[c] or []), key=lambda m: m.encode() if isinstance(m, str) else m)
         # a column with few values is stretched over the full range, or it would only decide the low bits
-        buckets.append(F.floor(_bucket(_number(df, c), marks) * n / F.lit(len(marks) + 1)))
+        buckets.append(F.floor(_bucket(F.col(c) if c in texts else _number(df, c), marks) * n / F.lit(len(marks) + 1)))
     value = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i, bucket in enumerate(buckets):
             moved = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
             value = value.bitwiseOR(F.shiftleft(moved, bit * len(buckets) + i))
-    return (df.withColumn("__z", value).repartitionByRange(partitions, "__z")
-            .sortWithinPartitions("__z").drop("__z"))
+    return (df.withColumn("__z", value).repartitionByRange(partitions, *first, "__z")
+            .sortWithinPartitions(*first, "__z").drop("__z"))
+
+
+def _text_cuts(df: DataFrame, c: str, parts: int = 64) -> list[str]:
+    """Lowest value of each of ``parts`` ranges of a string column, whole strings in byte order."""
+    dealt = df.where(F.col(c).isNotNull()).select(c).repartitionByRange(parts, c)
+    return [r[0] for r in dealt.groupBy(F.spark_partition_id()).agg(F.min(c)).select(f"min({c})").collect()]
 
 
 def _number(df: DataFrame, c: str) -> Column:
-    if isinstance(df.schema[c].dataType, T.StringType):
-        # order-preserving number from the first characters
-        return F.conv(F.hex(F.rpad(F.substring(F.col(c), 1, 7), 7, "\0")), 16, 10).cast("double")
     return F.col(c).cast("timestamp").cast("double") if isinstance(
         df.schema[c].dataType, (T.DateType, T.TimestampType)) else F.col(c).cast("double")
 
@@ -161,7 +179,7 @@ def for_each_table(spark: SparkSession, tables: Sequence[str], action: Callable[
         try:
             rows.append((t, True, str(action(t))))
         except Exception as exc:  # recorded, and raised together by require_all_done
-            rows.append((t, False, f"{type(exc).__name__}: {str(exc)[:200]}"))
+            rows.append((t, False, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(rows, "table_name string, done boolean, detail string")
 
 

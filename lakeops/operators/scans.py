@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_GROUP_ROWS = 5_000_000      # a key with fewer rows is always left whole
-MAX_HOT_KEYS = 16_384           # a key below total / this is left whole as well
+MAX_HOT_KEYS = 1 << 20          # a key below total / this is left whole as well: no effect below 5 * 10**12 rows
 BUCKETS = 65_536                # hash buckets of the first count
-CUT_GRID = 1_024                # most segments one key is cut into
+CUT_GRID = 1_024                # fewest places at which cuts can lie; more where a key needs more segments
 COARSE = 32
+LAST_SEG = 1 << 30              # segment of rows without a position in an order that has them last
 
 SEG = "__seg"
 
@@ -83,16 +84,19 @@ def find_hot(df: DataFrame, keys: Sequence[str], pos: Column, max_rows: int = MA
     big = suspects.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > limit)
     rows = keyed_join(suspects, big, keys, "inner", small=True) if keys else suspects.withColumn(
         "__n", F.lit(total))
-    grid = [i / CUT_GRID for i in range(1, CUT_GRID)]
+    # as many segments as the largest key needs, however large it is
+    largest = big.agg(F.max("__n")).first()[0] if keys else total
+    places = max(CUT_GRID, 2 * -(-(largest or 0) // limit))
+    grid = [i / places for i in range(1, places)]
     cuts = (
         rows.where(F.col("__pos").isNotNull())
         .groupBy(*keys)
-        .agg(F.percentile_approx("__pos", grid, 10_000).alias("q"), F.max("__n").alias("__n"))
-        .withColumn("parts", F.least(F.lit(CUT_GRID), F.ceil(F.col("__n") / F.lit(limit)) + 1)
+        .agg(F.percentile_approx("__pos", grid, max(10_000, 10 * places)).alias("q"), F.max("__n").alias("__n"))
+        .withColumn("parts", F.least(F.lit(places), F.ceil(F.col("__n") / F.lit(limit)) + 1)
                     .cast("int"))
         .select(*keys, F.array_sort(F.array_distinct(F.transform(
             F.sequence(F.lit(1), F.col("parts") - 1),
-            lambda i: F.element_at("q", (i * CUT_GRID / F.col("parts")).cast("int"))))).alias("c"))
+            lambda i: F.element_at("q", (i * places / F.col("parts")).cast("int"))))).alias("c"))
         # two levels, so that finding a row's segment takes 2 * 32 comparisons
         .select(*keys, F.transform(
             F.sequence(F.lit(0), ((F.size("c") - 1) / COARSE).cast("int")),
@@ -121,8 +125,16 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return joined.drop(*["__k_" + k for k in keys])
 
 
-def with_segment(df: DataFrame, hot: HotKeys, pos: Column, name: str = SEG) -> DataFrame:
-    """Add the segment number: 0 for a whole key, ascending along ``pos`` for a cut one."""
+def nulls_last(order: Sequence[Column | str]) -> bool:
+    """Whether the leading column of an order puts NULL behind all values, as a descending one does."""
+    return bool(order) and "NULLS LAST" in str(order[0])
+
+
+def with_segment(df: DataFrame, hot: HotKeys, pos: Column, name: str = SEG, nulls_behind: bool = False) -> DataFrame:
+    """Add the segment number: 0 for a whole key, ascending along ``pos`` for a cut one.
+
+    Rows of a cut key without a position go to the first segment, or to one behind all others.
+    """
     if not hot:
         return df.withColumn(name, F.lit(0))
     placed = df.withColumn("__p", pos)
@@ -136,7 +148,8 @@ def with_segment(df: DataFrame, hot: HotKeys, pos: Column, name: str = SEG) -> D
                             lambda c: c <= F.col("__p")))
     return (
         joined.withColumn("__block", F.when(F.col("__cuts").isNotNull(), block))
-        .withColumn(name, F.when(F.col("__cuts").isNull() | F.col("__p").isNull(), F.lit(0))
+        .withColumn(name, F.when(F.col("__cuts").isNull(), F.lit(0))
+                    .when(F.col("__p").isNull(), F.lit(LAST_SEG if nulls_behind else 0))
                     .otherwise((F.col("__block") - 1) * COARSE + inner).cast("int"))
         .drop("__cuts", "__block", "__p")
     )
@@ -250,7 +263,8 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outputs = {s.name: _local(s, w, running) for s in specs}
     outputs["__rn"] = F.row_number().over(w)
-    scanned = lambda rows: with_segment(rows, hot, pos).withColumns(outputs)
+    behind = nulls_last(order)
+    scanned = lambda rows: with_segment(rows, hot, pos, nulls_behind=behind).withColumns(outputs)
     local = scanned(df)
     # Only cut keys hand anything on: at most two rows per 1 / MAX_HOT_KEYS of the data.
     cut = df if hot.table is None else keyed_join(df, hot.table.select(*keys), keys, "left_semi", small=True)

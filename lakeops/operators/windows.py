@@ -75,14 +75,22 @@ def slot_runs(slots: DataFrame, keys: Sequence[str], slot: str, step_seconds: in
 
 def rolling_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str, lookback_seconds: int,
                 row_id: Sequence[str], hot: S.HotKeys, name: str) -> DataFrame:
-    """Sum of ``value`` over the last ``lookback_seconds`` up to and with each row."""
+    """Sum of ``value`` over the last ``lookback_seconds`` up to and with each row.
+
+    A cut key runs segment by segment: a row is copied to the later segments in
+    whose look-back it lies, so every frame holds the rows it holds in the plain
+    window, NULLs, ties and doubles included. Rows without a time are each
+    other's frame. ``row_id`` is not needed for that and kept for callers.
+    """
     at, back = F.unix_micros(F.col(ts)), lookback_seconds * 1_000_000
     if not hot:
         w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-back, Window.currentRow)
         return df.withColumn(name, F.sum(value).over(w))
-    totals = S.window_totals(df, df.withColumn(name, F.col(value)), keys, row_id, at - back, at + 1,
-                             at, [name], hot)
-    return S.keyed_join(df, totals, [*keys, *[c for c in row_id if c not in keys]])
+    placed = S.with_segment(S.with_segment(df, hot, at, "__own"), hot, at + back, "__last")
+    copies = placed.withColumn(S.SEG, F.explode(F.sequence("__own", "__last")))
+    w = Window.partitionBy(*keys, S.SEG).orderBy(at).rangeBetween(-back, Window.currentRow)
+    summed = copies.withColumn("__sum", F.sum(value).over(w)).where(F.col(S.SEG) == F.col("__own"))
+    return summed.select(*df.columns, F.col("__sum").alias(name))
 
 
 def trailing_median(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,

@@ -226,12 +226,14 @@ def topups(t):
     g AS (SELECT id, count(*) AS n, sum(amount) AS total, avg(gap) AS mean, quantile_disc(gap, 0.5) AS med, stddev_samp(gap) AS sd,
             date_diff('day', max(d), {RUN}) AS since, count(*) FILTER (WHERE ch = '1-URGENT') AS app, count(DISTINCT ch) AS chs FROM x GROUP BY 1),
     r AS (SELECT *, CASE WHEN med > 0 THEN {half_up("CAST(since AS DOUBLE) / med", 3)} END AS ratio FROM g)
-    SELECT id AS subscriber_id, CAST(n AS BIGINT) AS topups_180d, CAST(total AS DOUBLE) AS topup_amount_180d, {half_up("mean", 2)} AS avg_gap_days, med AS median_gap_days,
+    SELECT id AS subscriber_id, CAST(n AS BIGINT) AS topups_720d, CAST(total AS DOUBLE) AS topup_amount_720d, {half_up("CAST(total AS DOUBLE) / n", 2)} AS avg_topup_amount, CAST(app AS BIGINT) AS app_topups,
+           {half_up("sd", 2)} AS stddev_gap_days, {half_up("mean", 2)} AS avg_gap_days, med AS median_gap_days,
            CAST(since AS INTEGER) AS days_since_last_topup, ratio AS overdue_ratio, ratio >= 2.0 AS is_overdue_2x, CAST(chs AS BIGINT) AS distinct_channels,
            {half_up("CAST(app AS DOUBLE) / n", 4)} AS app_topup_share, CASE WHEN {half_up("mean", 2)} > 0 THEN {half_up(half_up("sd", 2) + " / " + half_up("mean", 2), 4)} END AS topup_regularity FROM r""")
 def e6(t):
     return churn.topup_features(topups(t), RUN_DATE, 720, ["o_orderkey"]).select(
-        "subscriber_id", "topups_180d", C.as_double("topup_amount_180d", "topup_amount_180d"), "avg_gap_days", "median_gap_days",
+        "subscriber_id", "topups_720d", C.as_double("topup_amount_720d", "topup_amount_720d"), C.as_double("avg_topup_amount", "avg_topup_amount"),
+        "app_topups", "stddev_gap_days", "avg_gap_days", "median_gap_days",
         "days_since_last_topup", "overdue_ratio", "is_overdue_2x", "distinct_channels", "app_topup_share", "topup_regularity")
 
 
@@ -276,16 +278,16 @@ CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REASONS.items())
                  CAST(o_orderpriority[1] AS INTEGER) AS csat, date_diff('day', CAST(o_orderdate AS DATE), {RUN}) AS ago FROM orders
                WHERE CAST(o_orderdate AS DATE) <= {RUN} AND CAST(o_orderdate AS DATE) > {RUN} - INTERVAL 720 DAY),
     r AS (SELECT *, COALESCE(date_diff('day', lag(d) OVER (PARTITION BY id, topic ORDER BY d, o_orderkey), d) <= 7, FALSE) AS rep FROM c),
-    g AS (SELECT id, count(*) AS n, count(*) FILTER (WHERE ago < 30) AS n30, count(*) FILTER (WHERE rep) AS reps, min(ago) AS since, avg(csat) AS csat,
-            count(*) FILTER (WHERE st <> 'F') AS un, count(*) FILTER (WHERE topic = 'BILLING' AND ago < 180) AS bill, count(*) FILTER (WHERE topic = 'OTHER' AND ago < 180) AS oth,
-            count(*) FILTER (WHERE topic = 'CANCELLATION' AND ago < 180) AS canc FROM r GROUP BY 1)
-    SELECT id AS subscriber_id, CAST(n AS BIGINT) AS care_contacts_180d, CAST(n30 AS BIGINT) AS care_contacts_30d, CAST(reps AS BIGINT) AS repeat_contacts_180d,
-           CAST(since AS INTEGER) AS days_since_last_contact, {half_up("csat", 3)} AS avg_csat, CAST(bill AS BIGINT) AS care_billing_180d, CAST(oth AS BIGINT) AS care_other_180d,
+    g AS (SELECT id, count(*) AS n, count(*) FILTER (WHERE ago < 30) AS n30, count(*) FILTER (WHERE rep) AS reps, min(ago) AS since, avg(csat) AS csat, min(csat) AS lowest, avg(id) AS handling,
+            count(*) FILTER (WHERE st <> 'F') AS un, count(*) FILTER (WHERE topic = 'BILLING' AND ago < 720) AS bill, count(*) FILTER (WHERE topic = 'OTHER' AND ago < 720) AS oth,
+            count(*) FILTER (WHERE topic = 'CANCELLATION' AND ago < 720) AS canc FROM r GROUP BY 1)
+    SELECT id AS subscriber_id, CAST(n AS BIGINT) AS care_contacts_720d, CAST(n30 AS BIGINT) AS care_contacts_30d, CAST(reps AS BIGINT) AS repeat_contacts_720d,
+           CAST(since AS INTEGER) AS days_since_last_contact, {half_up("csat", 3)} AS avg_csat, CAST(lowest AS INTEGER) AS min_csat, {half_up("handling", 1)} AS avg_handling_time, CAST(bill AS BIGINT) AS care_billing_720d, CAST(oth AS BIGINT) AS care_other_720d,
            {half_up("CAST(un AS DOUBLE) / n", 4)} AS unresolved_rate, canc > 0 AS asked_about_cancellation, n30 >= 3 OR reps >= 2 AS recent_escalation FROM g""")
 def e8(t):
     return churn.care_features(contacts(t), RUN_DATE, 720, ["o_orderkey"]).select(
-        "subscriber_id", "care_contacts_180d", "care_contacts_30d", "repeat_contacts_180d", "days_since_last_contact", "avg_csat",
-        "care_billing_180d", "care_other_180d", "unresolved_rate", "asked_about_cancellation", "recent_escalation")
+        "subscriber_id", "care_contacts_720d", "care_contacts_30d", "repeat_contacts_720d", "days_since_last_contact", "avg_csat",
+        "care_billing_720d", "care_other_720d", "min_csat", "avg_handling_time", "unresolved_rate", "asked_about_cancellation", "recent_escalation")
 
 
 @query("E9_device_features", f"""
@@ -428,16 +430,16 @@ def e23(t):
 # ------------------------------------------------------------------ ledger
 @query("E17_velocity_alerts", f"""
     WITH {LEDGER_LOG}, l AS (SELECT * FROM known), daily AS (
-      SELECT account_id, CAST(at_ts AS DATE) AS d, sum(CASE WHEN tx_type = 'CASH-IN' THEN amount ELSE -amount END) AS net FROM l GROUP BY 1, 2),
-    opening AS (SELECT account_id, d, sum(net) OVER (PARTITION BY account_id ORDER BY d) - net AS opening FROM daily),
-    r AS (SELECT *, sum(amount) OVER (PARTITION BY account_id ORDER BY at_ts RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW) AS rolled FROM l WHERE tx_type <> 'CASH-IN')
+      SELECT account_id, currency, CAST(at_ts AS DATE) AS d, sum(CASE WHEN tx_type = 'CASH-IN' THEN amount ELSE -amount END) AS net FROM l GROUP BY ALL),
+    opening AS (SELECT account_id, currency, d, sum(net) OVER (PARTITION BY account_id, currency ORDER BY d) - net AS opening FROM daily),
+    r AS (SELECT *, sum(amount) OVER (PARTITION BY account_id, currency ORDER BY at_ts RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW) AS rolled FROM l WHERE tx_type <> 'CASH-IN')
     SELECT o_orderkey AS transaction_id, CAST(rolled AS DOUBLE) AS rolling_outflow, CAST(rolled AS DOUBLE) / CAST(opening AS DOUBLE) AS pct_of_opening,
            CASE WHEN CAST(rolled AS DOUBLE) / CAST(opening AS DOUBLE) >= 1.0 THEN 'CRITICAL' WHEN CAST(rolled AS DOUBLE) / CAST(opening AS DOUBLE) >= 0.9 THEN 'HIGH' ELSE 'MEDIUM' END AS severity
-    FROM r JOIN opening ON r.account_id = opening.account_id AND CAST(r.at_ts AS DATE) = opening.d WHERE opening > 0 AND CAST(rolled AS DOUBLE) / CAST(opening AS DOUBLE) >= 0.8""")
+    FROM r JOIN opening ON r.account_id = opening.account_id AND r.currency = opening.currency AND CAST(r.at_ts AS DATE) = opening.d WHERE opening > 0 AND CAST(rolled AS DOUBLE) / CAST(opening AS DOUBLE) >= 0.8""")
 def e17(t):
-    book = ledger_log(t).where("commit_id = 1").withColumn("currency", F.lit("EUR"))
+    book = ledger_log(t).where("commit_id = 1")
     opening = ledger.daily_account_summary(book)
-    hot = S.find_hot(t.orders.withColumnRenamed("o_custkey", "account_id"), ["account_id"], F.unix_micros("o_orderdate"))
+    hot = S.find_hot(book, ["account_id", "currency"], F.unix_micros("event_timestamp"))
     a = ledger.velocity_alerts(book, opening, ["transaction_id"], hot, 90 * 86_400)
     return a.select("transaction_id", C.as_double("rolling_outflow", "rolling_outflow"), "pct_of_opening", "severity")
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.scalar import bucket_of
@@ -54,25 +54,61 @@ def create_table_as(df: DataFrame, table: str, partition_by: Sequence[str] = ())
 def merge_into(path: str, source: DataFrame, keys: Sequence[str], partition: str, **rules) -> list:
     """Merge a batch into a partitioned data set, reading and rewriting only the partitions it touches.
 
-    ``rules`` are those of ``changes.merge``; a key must not move between
-    partitions. The partition values of the batch become literals, so the scan of
-    the table is pruned to them. Returns the values rewritten.
+    ``rules`` are those of ``changes.merge``. Touched are the partitions of the batch,
+    NULL among them, and those that hold a key of the batch now: a key that moves
+    leaves its old partition. Their values, one per folder, become literals, so the
+    scan is pruned to them. A partition that is left without rows is removed.
+    Returns the values of the batch's and the moved keys' partitions.
     """
     from lakeops.operators import changes
     spark = source.sparkSession
-    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    keys = [k for k in keys if k != partition] or list(keys)
+    table = spark.read.parquet(path)
+    kind = table.schema[partition].dataType
+    source = source.withColumn(partition, F.col(partition).cast(kind))
+    own = source.select(partition).distinct()
+    moved = table.select(*keys, partition).join(source.select(*keys), list(keys), "left_semi").select(partition).distinct()
+    touched = [r[0] for r in own.union(moved).distinct().collect()]
     if not touched:
         return touched
-    table = spark.read.parquet(path)
-    held = table.where(F.col(partition).isin(touched))
-    merged = changes.merge(held, source, list(dict.fromkeys([*keys, partition])), **rules)
+    known = [v for v in touched if v is not None]
+    here = F.col(partition).isin(known) if known else F.lit(False)
+    if None in touched:
+        here = here | F.col(partition).isNull()
+    if "update" in rules and rules["update"] is not None:
+        rules["update"] = list(dict.fromkeys([*rules["update"], partition]))
+    merged = changes.merge(table.where(here), source, keys, **rules)
+    left = {r[0] for r in merged.select(partition).distinct().collect()}
     overwrite_partitions(merged, path, [partition])
+    for value in touched:
+        if value not in left:
+            remove_partition(spark, path, partition, value)
     return touched
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, files = _file_system(spark, path)
+    return bool(files.exists(where))
+
+
+def remove_partition(spark: SparkSession, path: str, partition: str, value) -> None:
+    """Delete the folder of one partition value."""
+    # Spark itself says how it spells the value in a folder name
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
+        partition, None if value is None else str(value))
+    where, files = _file_system(spark, f"{path.rstrip('/')}/{named}")
+    files.delete(where, True)
+
+
 def single_csv(df: DataFrame, path: str) -> None:
     """One file for people to read; hand it statements, not tables."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def ml_split(df: DataFrame, path: str, features: Sequence[str], label: str | None = None,
@@ -117,7 +153,7 @@ def replace_dates(current: DataFrame, staged: DataFrame, day: str) -> DataFrame:
 
 
 def json_report(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

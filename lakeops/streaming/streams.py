@@ -3,13 +3,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.operators.windows import latest_wins
-from lakeops.sinks.writers import merge_into, overwrite_partitions
+from lakeops.sinks.writers import merge_into, overwrite_partitions, path_exists
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -38,10 +37,8 @@ def upsert_each(path: str, keys: Sequence[str], partition: str, order: Sequence[
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        last = latest_wins(batch, [*keys, partition], [F.col(c).desc() for c in order])
-        try:
-            batch.sparkSession.read.parquet(path)
-        except AnalysisException:
+        last = latest_wins(batch, [k for k in keys if k != partition] or keys, [F.col(c).desc() for c in order])
+        if not path_exists(batch.sparkSession, path):
             overwrite_partitions(last, path, [partition])      # first batch
             return
         merge_into(path, last, keys, partition, newer=newer)
