@@ -17,8 +17,8 @@ def sha(x):
 
 
 # ------------------------------------------------------------------ 1
-def brute_lines(rows, least):
-    """Text left per row; rows ordered by id (null first)."""
+def brute_lines(rows, least, texts=False):
+    """What is left per row, rows ordered by id (null first); ``texts``: as texts by id."""
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     places, whole = defaultdict(list), []
     for n, r in enumerate(rows):
@@ -54,8 +54,8 @@ def brute_lines(rows, least):
             text = ""
         else:
             text = "\n".join(x for i, x in enumerate(lines) if i not in drop)
-        out.append((rows[n][0], len(lines), len(drop), sha(text)))
-    return out
+        out.append((rows[n][0], text) if texts else (rows[n][0], len(lines), len(drop), sha(text)))
+    return dict(out) if texts else out
 
 
 @pytest.mark.parametrize("least", [1, 12, 50])
