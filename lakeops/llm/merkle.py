@@ -104,8 +104,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """Fingerprint of every text, and of the text whose last third comes from the next document (descending id).
 
     Columns: the id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    edited_sections and edited_paragraphs (numbers, from 1, in the edited text). A next document sends
-    only the start that is used of it, with its fingerprint; whole texts are shuffled once.
+    next_doc_id, edited_sections and edited_paragraphs (numbers, from 1, in the edited text). A next
+    document sends only the start that is used of it, with its fingerprint. Whole texts are shuffled once:
+    both joins read the same columns by the same key, so Spark reuses the exchange.
     """
     k1, k2 = row_key(doc_id, text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), k1, k2, whole(text).alias("text"))
@@ -115,9 +116,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # what each document sends to the one before it
     wanted = ahead.select(F.col("next_k1").alias("k1"), F.col("next_k2").alias("k2"), F.col("k1").alias("to1"), F.col("k2").alias("to2"),
                           F.floor(F.col("n_chars") / 3).cast("int").alias("want"))
-    sent = with_tree(rows.join(wanted, ["k1", "k2"]).select("to1", "to2", "text", "want"), "text", "tree").select(
-        F.col("to1").alias("k1"), F.col("to2").alias("k2"), F.expr("substring(text, 1, want)").alias("start"), written("tree").alias("next_fingerprint"))
-    sent = sent.groupBy("k1", "k2").agg(F.first("start").alias("start"), F.first("next_fingerprint").alias("next_fingerprint"))
+    sent = with_tree(rows.join(wanted, ["k1", "k2"]).select("doc_id", "to1", "to2", "text", "want"), "text", "tree").select(
+        F.col("to1").alias("k1"), F.col("to2").alias("k2"), F.expr("substring(text, 1, want)").alias("start"),
+        written("tree").alias("next_fingerprint"), F.col("doc_id").alias("next_doc_id"))
+    sent = sent.groupBy("k1", "k2").agg(*[F.first(c).alias(c) for c in ("start", "next_fingerprint", "next_doc_id")])
     met = rows.join(sent, ["k1", "k2"])
     # all but the last of equal rows are followed by their like
     copy = Window.partitionBy("k1", "k2").orderBy("doc_id")
@@ -131,7 +133,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     out = both.select(
         F.col("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), written("tree").alias("fingerprint"),
         written("edited_tree").alias("edited_fingerprint"), sections.alias("edited_sections"), paragraphs.alias("edited_paragraphs"),
-        F.col("last"), "next_fingerprint")
+        F.col("last"), "next_fingerprint", F.when(F.col("last"), F.col("next_doc_id")).otherwise(F.col("doc_id")).alias("next_doc_id"))
     return (out.withColumn("near_edited", likeness(F.col("fingerprint"), F.col("edited_fingerprint")))
             .withColumn("near_next", F.when(F.col("last"), likeness(F.col("fingerprint"), F.col("next_fingerprint"))).otherwise(F.lit(1.0)))
             .drop("last", "next_fingerprint").withColumnRenamed("doc_id", doc_id))

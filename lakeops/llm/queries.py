@@ -101,15 +101,16 @@ FROM placed
 @query
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(load_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_doc_id")
 
 
 ORACLES["op3_document_fingerprints"] = r"""
 WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 ordered AS (
-  SELECT doc_id, text, length(text) AS n, coalesce(lead(text) OVER w, first_value(text) OVER w) AS follows
+  SELECT doc_id, text, length(text) AS n, coalesce(lead(text) OVER w, first_value(text) OVER w) AS follows,
+    coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_doc_id
   FROM base WINDOW w AS (ORDER BY doc_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-texts AS (SELECT doc_id, n, text, substr(text, 1, n - n // 3) || substr(follows, 1, n // 3) AS edited, follows FROM ordered),
+texts AS (SELECT doc_id, n, text, substr(text, 1, n - n // 3) || substr(follows, 1, n // 3) AS edited, follows, next_doc_id FROM ordered),
 leaves AS (
   SELECT doc_id, n, k, t, list_transform(string_split(t, chr(10)), lambda p: CASE WHEN p = '' THEN [substr(md5(''), 1, 12)]
       ELSE list_transform(regexp_extract_all(p, '(?s).{1,64}'), lambda x: substr(md5(x), 1, 12)) END) AS leaves
@@ -129,7 +130,7 @@ SELECT t.doc_id, t.n AS n_chars, sha256(t.edited) AS edited_sha256, o.print AS f
   CASE WHEN o.root = e.root THEN 1.0::DOUBLE
     ELSE 2.0::DOUBLE * len(list_intersect(o.leaf_set, e.leaf_set)) / (len(o.leaf_set) + len(e.leaf_set)) END AS near_edited,
   CASE WHEN o.root = f.root THEN 1.0::DOUBLE
-    ELSE 2.0::DOUBLE * len(list_intersect(o.leaf_set, f.leaf_set)) / (len(o.leaf_set) + len(f.leaf_set)) END AS near_next
+    ELSE 2.0::DOUBLE * len(list_intersect(o.leaf_set, f.leaf_set)) / (len(o.leaf_set) + len(f.leaf_set)) END AS near_next, t.next_doc_id
 FROM texts t JOIN prints o ON t.doc_id = o.doc_id AND o.k = 'own' JOIN prints e ON t.doc_id = e.doc_id AND e.k = 'edited'
 JOIN prints f ON t.doc_id = f.doc_id AND f.k = 'next'
 """
