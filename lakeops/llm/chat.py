@@ -97,10 +97,11 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         high = low.select("c", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("depth").alias("depth2"),
                           F.col("root").alias("root2"))
         reach = F.lit(2 ** (len(levels) - 1)).cast("bigint")
-        levels.append(cut(low.join(high, ["c", "up"], "left").select(
-            "c", "node", F.col("up2").alias("up"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"),
-            F.when(F.col("up").isNull(), F.col("depth")).otherwise(reach + F.col("depth2")).alias("depth"),
-            F.coalesce("root2", "root").alias("root"))))
+        # messages that have reached their root are settled and join no more
+        further = low.where("up IS NOT NULL").join(high, ["c", "up"]).select(
+            "c", "node", F.col("up2").alias("up"), (F.col("sum") + F.col("sum2")).alias("sum"),
+            (reach + F.col("depth2")).alias("depth"), F.col("root2").alias("root"))
+        levels.append(cut(low.where("up IS NULL").select("c", "node", "up", "sum", "depth", "root").unionByName(further)))
     leaves = levels[-1].join(links.where("parent IS NOT NULL").select("c", F.col("parent").alias("node")).distinct(), ["c", "node"], "left_anti")
     best = Window.partitionBy("c", "root").orderBy(F.col("sum").desc(), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= branches)
