@@ -32,11 +32,7 @@ def hourly_load(clean: DataFrame, slots_per_hour: float = 2.0) -> DataFrame:
 def outages(clean: DataFrame, grid_seconds: int = GRID_SECONDS, min_slots: int = 3,
             cluster: int = CLUSTER_METERS) -> DataFrame:
     """Silent runs between a meter's first and last slot, and how many other meters of the block were silent too."""
-    ends = clean.groupBy("meter_id", "block").agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
-    grid = ends.select("meter_id", "block", F.explode(F.expr(f"sequence(lo, hi, INTERVAL {grid_seconds} SECONDS)")).alias("slot"))
-    present = clean.where("reading_status <> 'MISSING'").select("meter_id", "slot")
-    silent = grid.join(present, ["meter_id", "slot"], "left_anti")
-    runs = W.slot_runs(silent, ["meter_id", "block"], "slot", grid_seconds, min_slots)
+    runs = W.missing_runs(clean, ["meter_id", "block"], "slot", grid_seconds, min_slots, F.col("reading_status") != "MISSING")
     counted = J.overlap_counts(runs, "block", "meter_id", "run_start", "run_end", grid_seconds, name="concurrent_meters")
     return counted.withColumn("duration_min", F.col("slots") * F.lit(grid_seconds // 60)).withColumn(
         "classification", F.when(F.col("concurrent_meters") >= cluster, "CLUSTERED").otherwise("ISOLATED"))

@@ -44,11 +44,12 @@ def variance(matched: DataFrame, by: Sequence[str] = ("partner_code",)) -> DataF
     """Totals per partner (and day): legs by status, minutes, charges, match rate, signed difference."""
     n = lambda status: F.count_if(F.col("match_status") == status)
     total = lambda c: F.sum(F.coalesce(F.col(c), F.lit(0)))
+    # exact, or a checksum over them would depend on the order of addition
+    minutes = lambda c: F.round(F.sum(F.coalesce(F.col(c).cast("decimal(18,4)"), F.lit(0))) / 60, 2).cast("decimal(18,2)")
     v = matched.groupBy(*by).agg(
         F.count("*").alias("total_legs"), n("MATCHED").alias("matched_legs"), n("MISSING_ON_OUR_SIDE").alias("missing_ours"),
         n("MISSING_ON_THEIR_SIDE").alias("missing_theirs"), n("DURATION_MISMATCH").alias("duration_mismatches"),
-        F.round(total("our_duration") / 60.0, 2).alias("our_minutes"),
-        F.round(total("their_duration") / 60.0, 2).alias("their_minutes"),
+        minutes("our_duration").alias("our_minutes"), minutes("their_duration").alias("their_minutes"),
         F.round(total("our_charge"), 2).alias("our_charge_eur"),
         F.round(total("their_charge_eur"), 2).alias("their_charge_eur"))
     return v.select("*", F.round(F.col("matched_legs") / F.greatest("total_legs", F.lit(1)), 5).alias("match_rate"),
@@ -62,11 +63,14 @@ def direction(value: Column | str) -> Column:
 STATEMENT_LINE = ["partner_code", "our_minutes", "their_minutes", "we_billed_eur", "they_billed_eur", "net_variance_eur"]
 
 
-def monthly_statement(daily: DataFrame, month: str, source_version: str) -> DataFrame:
-    """One signed statement per partner; a month with missing days raises."""
+def monthly_statement(daily: DataFrame, month: str, source_version: str, calendar: DataFrame | None = None) -> DataFrame:
+    """One signed statement per partner; a month with missing days raises.
+
+    ``calendar`` (column settlement_date) lists the days on which the ledgers have legs; without it every day counts.
+    """
     start = F.lit(month + "-01").cast("date")
     rows = daily.where((F.col("settlement_date") >= start) & (F.col("settlement_date") < F.add_months(start, 1)))
-    gates.enforce(gates.complete_month(rows, "settlement_date", month))
+    gates.enforce(gates.complete_month(rows, "settlement_date", month, calendar))
     s = rows.groupBy("partner_code").agg(
         F.sum("our_minutes").alias("our_minutes"), F.sum("their_minutes").alias("their_minutes"),
         F.round(F.sum("our_charge_eur"), 2).alias("we_billed_eur"), F.round(F.sum("their_charge_eur"), 2).alias("they_billed_eur"),

@@ -53,12 +53,16 @@ def parse_failures(df: DataFrame, columns: Sequence[str], max_ratio: float = 0.0
     return _verdict(counted, "parse_failures", ok)
 
 
-def complete_month(df: DataFrame, day: str, month: str) -> DataFrame:
-    """Every calendar day of ``month`` (YYYY-MM) is present."""
-    days = calendar.monthrange(int(month[:4]), int(month[5:7]))[1]
+def complete_month(df: DataFrame, day: str, month: str, expected: DataFrame | None = None) -> DataFrame:
+    """Every day of ``month`` (YYYY-MM) is present: all of the calendar, or those of the table ``expected`` (column ``day``)."""
     start = F.lit(month + "-01").cast("date")
-    got = df.where((F.col(day) >= start) & (F.col(day) < F.add_months(start, 1))).agg(
-        F.countDistinct(F.to_date(F.col(day))).alias("days_present")).withColumn("days_expected", F.lit(days))
+    inside = lambda table: table.where((F.col(day) >= start) & (F.col(day) < F.add_months(start, 1)))
+    days = F.countDistinct(F.to_date(F.col(day)))
+    if expected is None:
+        wanted = F.lit(calendar.monthrange(int(month[:4]), int(month[5:7]))[1])
+    else:
+        wanted = inside(expected).agg(days).scalar()
+    got = inside(df).agg(days.alias("days_present")).withColumn("days_expected", wanted)
     return _verdict(got, "complete_month", F.col("days_present") == F.col("days_expected"))
 
 

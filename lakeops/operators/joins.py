@@ -11,17 +11,26 @@ from lakeops.functions.scalar import bucket_of
 from lakeops.operators import scans as S
 from lakeops.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 * 1024 * 1024    # by the planner's estimate, which counts files as they are stored
+BROADCAST_ROWS = 100_000              # for rows handed over from the driver, which have no estimate
+UNKNOWN = 1 << 62                     # estimates from here on mean that there is none
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; the count reads no columns of a parquet table."""
-    return df.count() <= max_rows
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the planner puts the table at ``max_bytes`` or less; nothing runs for a stored or derived table.
+
+    A derived table counts with the size of what it is derived from, so one that turns out small is left to
+    adaptive execution. Rows handed over from the driver are counted up to BROADCAST_ROWS.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < UNKNOWN:
+        return size <= max_bytes
+    return max_bytes >= BROADCAST_BYTES and df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a table of checked size; a larger one is left to a shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a table of checked size; any other is left to adaptive execution."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def scd2_as_of(history: DataFrame, day: Column, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
@@ -32,7 +41,7 @@ def scd2_as_of(history: DataFrame, day: Column, start: str = "valid_from", end:
 # ------------------------------------------------------------------ intervals
 def interval_join(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], ts: str, start: str,
                   end: str, columns: Sequence[str], hot: S.HotKeys, *, method: str = "carry",
-                  cell_seconds: int = 86_400, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                  cell_seconds: int = 86_400, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Inner join of each fact with the interval [start, end) of its key that holds its time.
 
     ``carry`` (default) wants non-overlapping intervals and is linear in the rows;
@@ -42,7 +51,7 @@ def interval_join(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], t
     fact, so they agree on overlapping intervals. An open end is NULL.
     """
     if method == "broadcast":
-        if not is_small(intervals, max_rows):
+        if not is_small(intervals, max_bytes):
             return _grid_join(facts, intervals, keys, ts, start, end, columns, cell_seconds)
         slim = F.broadcast(intervals.select(*keys, start, end, *columns))
         return facts.join(slim, list(keys)).where(_holds(ts, start, end)).drop(start, end)

@@ -73,6 +73,31 @@ def slot_runs(slots: DataFrame, keys: Sequence[str], slot: str, step_seconds: in
     return numbered
 
 
+def missing_runs(rows: DataFrame, keys: Sequence[str], slot: str, step_seconds: int, min_length: int = 1,
+                 present: Column | None = None) -> DataFrame:
+    """Runs of absent grid slots between a key's first and last row: keys, run_start, run_end, slots.
+
+    ``rows`` has one row per key and slot; where ``present`` does not hold, the row counts as absent and only
+    stretches the key's range. A run is the gap between two present slots (or an end of the range), so the
+    cost follows from the rows, however long a key is silent.
+    """
+    here = F.lit(True) if present is None else F.coalesce(present, F.lit(False))
+    number = F.floor(F.unix_seconds(F.col(slot)) / step_seconds)
+    along = Window.partitionBy(*keys).orderBy("__at")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.select(*keys, number.alias("__at"), here.alias("__here")).withColumns({
+        "__since": F.last(F.when(F.col("__here"), F.col("__at")), ignorenulls=True).over(earlier),
+        "__low": F.first("__at").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "__end": F.lead("__at").over(along).isNull()})
+    # a present row ends the gap before it, the key's last row ends one that is still open
+    gaps = seen.where(F.col("__here") | F.col("__end")).select(
+        *keys, F.coalesce(F.col("__since") + 1, "__low").alias("__from"),
+        F.when(F.col("__here"), F.col("__at") - 1).otherwise(F.col("__at")).alias("__to"))
+    start = lambda c: F.timestamp_seconds(F.col(c) * step_seconds)
+    return gaps.withColumn("slots", F.col("__to") - F.col("__from") + 1).where(F.col("slots") >= max(1, min_length)).select(
+        *keys, start("__from").alias("run_start"), start("__to").alias("run_end"), "slots")
+
+
 def rolling_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str, lookback_seconds: int,
                 row_id: Sequence[str], hot: S.HotKeys, name: str) -> DataFrame:
     """Sum of ``value`` over the last ``lookback_seconds`` up to and with each row.

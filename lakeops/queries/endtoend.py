@@ -403,21 +403,24 @@ def daily_variance(t):
     return settlement.variance(m, ["partner_code", "settlement_date"])
 
 
-STATEMENT = """d AS (SELECT partner, m, round(COALESCE(sum(oc), 0), 2) AS oc, round(COALESCE(sum(pc), 0), 2) AS pc, count(*) AS legs, count(*) FILTER (WHERE st = 'MATCHED') AS ok
+STATEMENT = """d AS (SELECT partner, m, {0} AS om, {1} AS tm, round(COALESCE(sum(oc), 0), 2) AS oc, round(COALESCE(sum(pc), 0), 2) AS pc, count(*) AS legs, count(*) FILTER (WHERE st = 'MATCHED') AS ok
     FROM j WHERE strftime(m, '%Y-%m') = '1998-06' GROUP BY 1, 2)"""
 
 
 @query("E15_settlement_statement", f"""
-    WITH {LEDGERS}, {STATEMENT}
+    WITH {LEDGERS}, {STATEMENT.format(*[f'CAST({half_up(f"CAST(sum(COALESCE(CAST({c} AS DECIMAL(18,4)), 0)) AS DOUBLE) / 60", 2)} AS DECIMAL(18,2))' for c in ("od", "pd")])},
+    line AS (SELECT concat_ws('|', partner, sum(om), sum(tm), sum(oc), sum(pc), sum(oc - pc)) AS x FROM d GROUP BY partner)
     SELECT partner AS partner_code, CAST(sum(oc) AS DOUBLE) AS we_billed_eur, CAST(sum(pc) AS DOUBLE) AS they_billed_eur, CAST(sum(oc - pc) AS DOUBLE) AS net_variance_eur,
            CAST(sum(legs) AS BIGINT) AS total_legs, CAST(sum(ok) AS BIGINT) AS matched_legs, CAST(count(DISTINCT m) AS BIGINT) AS days_included,
            CASE WHEN sum(oc - pc) > 0 THEN 'PARTNER_OWES_US' WHEN sum(oc - pc) < 0 THEN 'WE_OWE_PARTNER' ELSE 'BALANCED' END AS settlement_direction,
-           'v42' AS source_version, TRUE AS has_checksum FROM d GROUP BY 1""")
+           CAST(sum(om) AS DOUBLE) AS our_minutes, CAST(sum(tm) AS DOUBLE) AS their_minutes,
+           'v42' AS source_version, (SELECT sha256(string_agg(x, chr(10) ORDER BY x)) FROM line) AS statement_checksum FROM d GROUP BY 1""")
 def e15(t):
-    s = settlement.monthly_statement(daily_variance(t), "1998-06", "v42")
+    legs = t.lineitem.where("l_tax > 0 OR l_returnflag <> 'A'").select(F.to_date("l_shipdate").alias("settlement_date"))
+    s = settlement.monthly_statement(daily_variance(t), "1998-06", "v42", legs)
     return s.select("partner_code", *[C.as_double(c, c) for c in ("we_billed_eur", "they_billed_eur", "net_variance_eur")],
                     "total_legs", "matched_legs", "days_included", "settlement_direction", "source_version",
-                    (F.length("statement_checksum") == 64).alias("has_checksum"))
+                    C.as_double("our_minutes", "our_minutes"), C.as_double("their_minutes", "their_minutes"), "statement_checksum")
 
 
 @query("E23_leakage", f"""

@@ -145,7 +145,7 @@ def j12_large(t):
     e = with_product(t.events).select("event_id", "product", "ts")
     hot = S.find_hot(e, ["product"], F.unix_micros("ts"), 40)
     return J.interval_join(e, price_catalog(t.events), ["product"], "ts", "effective_start", "effective_end",
-                           ["price"], hot, method="broadcast", max_rows=10).select("event_id", "product", "price")
+                           ["price"], hot, method="broadcast", max_bytes=10).select("event_id", "product", "price")
 
 
 @query("J13_interval_join_grid", BOUND)

@@ -237,9 +237,8 @@ OUTAGES = """
 
 
 def outages(t):
-    present = t.events.select("user_id", C.snap_down("ts", 21_600).alias("slot"))
-    silent = W.missing_slots(present, ["user_id"], "slot", 21_600)
-    return W.slot_runs(silent, ["user_id"], "slot", 21_600, 3)
+    present = t.events.select("user_id", C.snap_down("ts", 21_600).alias("slot")).distinct()
+    return W.missing_runs(present, ["user_id"], "slot", 21_600, 3)
 
 
 @query("W15_missing_runs", f"""

@@ -315,4 +315,4 @@ def test_broadcast_is_checked(spark, lineitem):
     with inspect.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         join = lambda side: lineitem.join(side, F.col("l_suppkey") == F.col("s_suppkey"))
         assert inspect.join_strategies(join(J.broadcast_if_small(supplier))) == ["BroadcastHashJoin"]
-        assert inspect.join_strategies(join(J.broadcast_if_small(supplier, max_rows=3))) == ["SortMergeJoin"]
+        assert inspect.join_strategies(join(J.broadcast_if_small(supplier, max_bytes=3))) == ["SortMergeJoin"]

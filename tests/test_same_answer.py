@@ -9,6 +9,8 @@ from lakeops.operators import joins as J
 from lakeops.operators import layout
 from lakeops.operators import scans as S
 from lakeops.operators import windows as W
+from lakeops.plans import inspect
+from lakeops.session import load_table
 from lakeops.sinks import writers as K
 
 
@@ -29,8 +31,8 @@ def test_overlapping_intervals_give_the_same_rows_beyond_the_limit(spark):
                                       "k int, a long, b long, name string").select("k", *[F.timestamp_seconds(c).alias(c) for c in "ab"], "name")
     facts = spark.createDataFrame([(1, 15 * day), (1, 25 * day), (1, 10 * day), (1, 20 * day), (1, 95 * day), (None, 3), (2, 3), (1, None)],
                                   "k int, t long").select("k", F.timestamp_seconds("t").alias("t"))
-    got = [rows(J.interval_join(facts, intervals, ["k"], "t", "a", "b", ["name"], S.HotKeys(("k",)), method=m, max_rows=n))
-           for m, n in (("broadcast", 100), ("broadcast", 1), ("grid", 100))]
+    got = [rows(J.interval_join(facts, intervals, ["k"], "t", "a", "b", ["name"], S.HotKeys(("k",)), method=m, max_bytes=n))
+           for m, n in (("broadcast", J.BROADCAST_BYTES), ("broadcast", 1), ("grid", 1))]
     assert len(got[0]) == 8 and got[0] == got[1] == got[2]
 
 
@@ -116,3 +118,38 @@ def test_salted_join_spreads_null_keys(spark):
     hot = J.hot_values(left, ["k"], 20)
     for how in ("inner", "left", "full"):
         assert rows(J.salted_join(left, right, ["k"], how, hot).select("k", "a", "b")) == rows(left.join(right, "k", how).select("k", "a", "b"))
+
+
+def test_silent_runs_are_those_of_the_slot_grid(spark):
+    rng = random.Random(3)
+    at = {(k, s): rng.random() < 0.7 for k in range(6) for s in rng.sample(range(60), 25)}
+    at.update({(6, 5): False, (6, 9): False, (7, 4): True, (None, 2): True, (None, 7): True})
+    df = spark.createDataFrame([(k, 1800 * s, here) for (k, s), here in at.items()], "k int, s long, here boolean").withColumn("slot", F.timestamp_seconds("s"))
+    want = []
+    for k in {k for k, _ in at}:
+        mine = [s for j, s in at if j == k]
+        silent = [s for s in range(min(mine), max(mine) + 1) if not at.get((k, s), False)]
+        starts = [s for s in silent if s - 1 not in silent]
+        runs = [(s, next(e for e in range(s, 99) if e + 1 not in silent)) for s in starts]
+        want += [(k, 1800 * a, 1800 * b, b - a + 1) for a, b in runs if b - a >= 1]
+    got = W.missing_runs(df, ["k"], "slot", 1800, 2, F.col("here")).select("k", F.unix_seconds("run_start"), F.unix_seconds("run_end"), "slots")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_a_stray_early_reading_costs_no_slots(spark):
+    df = spark.createDataFrame([(1, 0), (1, 1_700_000_000 // 1800 * 1800)], "k int, s long").withColumn("slot", F.timestamp_seconds("s"))
+    runs = W.missing_runs(df, ["k"], "slot", 1800)
+    assert [r["slots"] for r in runs.collect()] == [1_700_000_000 // 1800 - 1]
+    assert "Generate" not in inspect.plan_text(runs, "simple")
+
+
+def test_size_checks_run_no_job(spark):
+    orders = load_table(spark, "/root/testdata/sf0.01", "orders")
+    tracker, group = spark.sparkContext.statusTracker(), "size-check"
+    derived = orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("top"))
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        sizes = [J.is_small(df, n) for df in (orders, derived) for n in (1, J.BROADCAST_BYTES)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sizes == [False, True, False, True] and not tracker.getJobIdsForGroup(group)
