@@ -42,6 +42,7 @@ def evidence(steps: Mapping[str, DataFrame], erased: DataFrame, key: str, keys:
     return reduce(DataFrame.unionByName, rows)
 
 
-def scope_check(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: str) -> DataFrame:
-    """Residual rows per table after the erasure of the whole scope."""
-    return E.residual_rows(E.erase(tables, erased, key), erased, key)
+def scope_check(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: str,
+                landed: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Residual rows per table after the erasure of the whole scope; ``landed`` holds what arrived in a table since."""
+    return E.residual_rows(E.with_arrivals(E.erase(tables, erased, key), landed or {}), erased, key)

@@ -58,6 +58,11 @@ def erase(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: s
             for name, (df, column) in tables.items()}
 
 
+def with_arrivals(tables: Mapping[str, tuple[DataFrame, str]], landed: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, str]]:
+    """The tables with the rows that landed in them after the erasure, such as late files of a partner."""
+    return {name: (df.unionByName(landed[name]) if name in landed else df, column) for name, (df, column) in tables.items()}
+
+
 def audit_rows(tables: Mapping[str, tuple[DataFrame, str]], erased: DataFrame, key: str, mode: str) -> DataFrame:
     """What an erasure is about to remove, written before it runs."""
     before = residual_rows(tables, erased, key).withColumnRenamed("rows", "rows_targeted")
