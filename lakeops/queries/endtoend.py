@@ -12,7 +12,7 @@ from lakeops.queries.joined import IV
 from lakeops.queries.projections import NET, RAW_READING, raw_reading
 from lakeops.queries.state import KEYS, LEDGER_LOG, LOG, ORDER, ledger_log, state_sql, version_log
 from lakeops.queries.windowed import HISTORY, history, ts
-from lakeops.registry import half_up, query
+from lakeops.registry import ORACLES, half_up, query
 
 RUN_DATE = "2000-06-30"
 RUN = f"DATE '{RUN_DATE}'"
@@ -161,6 +161,8 @@ SUBSCRIBERS = """s AS (SELECT c_custkey AS id, c_nationkey AS market, c_mktsegme
 @query("E4_usage_features", f"""
     WITH {USAGE.format(run=RUN, days=90)}, {SUBSCRIBERS},
     g AS (SELECT id, CAST(sum(CASE WHEN ago < 7 THEN sec ELSE 0 END) AS BIGINT) AS v7, CAST(sum(sec) AS BIGINT) AS v90,
+            CAST(sum(CASE WHEN ago < 30 THEN sec ELSE 0 END) AS BIGINT) AS v30, CAST(sum(CASE WHEN ago < 7 AND f = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS sms7,
+            sum(CASE WHEN ago < 30 THEN bytes ELSE 0 END) AS b30, max(d) AS latest,
             CAST(sum(CASE WHEN ago < 30 AND f = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS sms30, sum(CASE WHEN ago < 7 THEN bytes ELSE 0 END) AS b7, sum(bytes) AS b90,
             sum(CASE WHEN ago < 30 THEN charge ELSE 0 END) AS c30, sum(charge) AS c90, count(DISTINCT CASE WHEN ago < 30 THEN b END) AS d30, count(DISTINCT b) AS d90,
             sum(CASE WHEN ago < 30 AND st <> 'O' THEN 1 ELSE 0 END) AS off30, sum(CASE WHEN ago < 30 THEN 1 ELSE 0 END) AS e30, min(ago) AS since
@@ -171,11 +173,16 @@ SUBSCRIBERS = """s AS (SELECT c_custkey AS id, c_nationkey AS market, c_mktsegme
            CASE WHEN c90 > 0 THEN {half_up("(CAST(c30 AS DOUBLE) / 30) / (CAST(c90 AS DOUBLE) / 90)", 4)} END AS spend_trend_30_90,
            CASE WHEN d90 > 0 THEN {half_up("CAST(d30 * 3 AS DOUBLE) / d90", 4)} END AS social_graph_shrink,
            CASE WHEN e30 > 0 THEN {half_up("CAST(off30 AS DOUBLE) / e30", 4)} END AS offnet_share_30d,
-           CASE WHEN date_diff('day', act, {RUN}) >= 7 THEN since >= 7 END AS is_dormant_7d FROM g JOIN s ON g.id = s.id""")
+           CASE WHEN date_diff('day', act, {RUN}) >= 7 THEN since >= 7 END AS is_dormant_7d,
+           v30 AS voice_sec_30d, sms7 AS sms_7d, CAST(b7 AS BIGINT) AS bytes_7d, CAST(b30 AS BIGINT) AS bytes_30d, CAST(b90 AS BIGINT) AS bytes_90d, CAST(c30 AS DOUBLE) AS charge_30d,
+           CAST(c90 AS DOUBLE) AS charge_90d, CAST(off30 AS BIGINT) AS offnet_calls_30d, CAST(e30 AS BIGINT) AS events_30d, CAST(d30 AS BIGINT) AS distinct_b_30d,
+           CAST(d90 AS BIGINT) AS distinct_b_90d, CAST(since AS INTEGER) AS days_since_last_event, latest AS last_event_date FROM g JOIN s ON g.id = s.id""")
 def e4(t):
     return churn.usage_features(usage_events(t), subscribers(t), RUN_DATE).select(
         "subscriber_id", "voice_sec_7d", "voice_sec_90d", "sms_30d", "voice_trend_7_90", "data_trend_7_90", "spend_trend_30_90",
-        "social_graph_shrink", "offnet_share_30d", "is_dormant_7d")
+        "social_graph_shrink", "offnet_share_30d", "is_dormant_7d", "voice_sec_30d", "sms_7d", "bytes_7d", "bytes_30d", "bytes_90d",
+        C.as_double("charge_30d", "charge_30d"), C.as_double("charge_90d", "charge_90d"), "offnet_calls_30d", "events_30d",
+        "distinct_b_30d", "distinct_b_90d", "days_since_last_event", "last_event_date")
 
 
 def bills(t):
@@ -197,11 +204,14 @@ def payments(t):
     g AS (SELECT o_custkey AS id, CAST(sum({TOTAL}) AS DOUBLE) / count(*) AS mean, stddev_samp(o_totalprice) AS sd, max(o_totalprice) AS top, count(*) AS n,
             count(*) FILTER (WHERE o_orderstatus = 'F') AS roam, max(o_totalprice) FILTER (WHERE rn = 1) AS last_bill,
             quantile_disc(o_totalprice, 0.5) FILTER (WHERE rn > 1) AS med, count(*) FILTER (WHERE CAST(o_orderpriority[1] AS INTEGER) > 3) AS late,
-            max(CAST(o_orderpriority[1] AS INTEGER) - 3) AS worst, count(*) FILTER (WHERE o_orderstatus = 'P') AS failed FROM b GROUP BY 1)
+            max(CAST(o_orderpriority[1] AS INTEGER) - 3) AS worst, count(*) FILTER (WHERE o_orderstatus = 'P') AS failed,
+            CAST(sum(CAST(o_orderpriority[1] AS INTEGER) - 3) AS DOUBLE) / count(*) AS lateness, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS over,
+            max(CAST(o_orderdate AS DATE)) AS last_date FROM b GROUP BY 1)
     SELECT id AS subscriber_id, {half_up("mean", 2)} AS avg_bill_12m, {half_up("sd", 2)} AS stddev_bill_12m, top AS max_bill_12m, CAST(n AS BIGINT) AS bills_12m,
            CAST(roam AS BIGINT) AS roaming_months_12m, last_bill AS last_bill_amount, med AS median_bill_amount,
            CASE WHEN med > 0 THEN {half_up("last_bill / med", 4)} END AS bill_shock_ratio, CAST(late AS BIGINT) AS late_payments_12m,
            CAST(failed AS BIGINT) AS failed_payments_12m, worst AS max_days_late_12m, {half_up("CAST(late AS DOUBLE) / n", 4)} AS late_payment_rate_12m,
+           {half_up("lateness", 2)} AS avg_days_late_12m, CAST(over AS BIGINT) AS overage_months_12m, CAST(n AS BIGINT) AS payments_12m, last_date AS last_bill_date,
            {half_up(half_up("sd", 2) + " / " + half_up("mean", 2), 4)} AS bill_volatility FROM g""")
 def e5(t):
     f = churn.billing_features(bills(t), payments(t), RUN_DATE, tie=["o_orderkey"])
@@ -209,7 +219,7 @@ def e5(t):
     return f.withColumns({c: C.as_double(c) for c in amounts}).select(
         "subscriber_id", "avg_bill_12m", "stddev_bill_12m", "max_bill_12m", "bills_12m", "roaming_months_12m", "last_bill_amount",
         "median_bill_amount", "bill_shock_ratio", "late_payments_12m", "failed_payments_12m", "max_days_late_12m",
-        "late_payment_rate_12m", "bill_volatility")
+        "late_payment_rate_12m", "bill_volatility", "avg_days_late_12m", "overage_months_12m", "payments_12m", "last_bill_date")
 
 
 def topups(t):
@@ -224,37 +234,46 @@ def topups(t):
                WHERE CAST(o_orderdate AS DATE) <= {RUN} AND CAST(o_orderdate AS DATE) > {RUN} - INTERVAL 720 DAY AND o_orderstatus <> 'P'),
     x AS (SELECT *, CAST(date_diff('day', lag(d) OVER (PARTITION BY id ORDER BY d, o_orderkey), d) AS INTEGER) AS gap FROM b),
     g AS (SELECT id, count(*) AS n, sum(amount) AS total, avg(gap) AS mean, quantile_disc(gap, 0.5) AS med, stddev_samp(gap) AS sd,
-            date_diff('day', max(d), {RUN}) AS since, count(*) FILTER (WHERE ch = '1-URGENT') AS app, count(DISTINCT ch) AS chs FROM x GROUP BY 1),
+            date_diff('day', max(d), {RUN}) AS since, max(d) AS latest, count(*) FILTER (WHERE ch = '1-URGENT') AS app, count(DISTINCT ch) AS chs FROM x GROUP BY 1),
     r AS (SELECT *, CASE WHEN med > 0 THEN {half_up("CAST(since AS DOUBLE) / med", 3)} END AS ratio FROM g)
     SELECT id AS subscriber_id, CAST(n AS BIGINT) AS topups_720d, CAST(total AS DOUBLE) AS topup_amount_720d, {half_up("CAST(total AS DOUBLE) / n", 2)} AS avg_topup_amount, CAST(app AS BIGINT) AS app_topups,
-           {half_up("sd", 2)} AS stddev_gap_days, {half_up("mean", 2)} AS avg_gap_days, med AS median_gap_days,
+           latest AS last_topup_date, {half_up("sd", 2)} AS stddev_gap_days, {half_up("mean", 2)} AS avg_gap_days, med AS median_gap_days,
            CAST(since AS INTEGER) AS days_since_last_topup, ratio AS overdue_ratio, ratio >= 2.0 AS is_overdue_2x, CAST(chs AS BIGINT) AS distinct_channels,
            {half_up("CAST(app AS DOUBLE) / n", 4)} AS app_topup_share, CASE WHEN {half_up("mean", 2)} > 0 THEN {half_up(half_up("sd", 2) + " / " + half_up("mean", 2), 4)} END AS topup_regularity FROM r""")
 def e6(t):
     return churn.topup_features(topups(t), RUN_DATE, 720, ["o_orderkey"]).select(
         "subscriber_id", "topups_720d", C.as_double("topup_amount_720d", "topup_amount_720d"), C.as_double("avg_topup_amount", "avg_topup_amount"),
-        "app_topups", "stddev_gap_days", "avg_gap_days", "median_gap_days",
+        "app_topups", "last_topup_date", "stddev_gap_days", "avg_gap_days", "median_gap_days",
         "days_since_last_topup", "overdue_ratio", "is_overdue_2x", "distinct_channels", "app_topup_share", "topup_regularity")
 
 
 @query("E7_network_features", f"""
     WITH {USAGE.format(run=RUN, days=30)}, use AS (SELECT id, cell, count(*) AS n, sum(sec) AS s, count(*) FILTER (WHERE f = 'R') AS dr FROM u GROUP BY 1, 2),
+    busy AS (SELECT l_suppkey AS cell, {half_up("CAST(sum(load) AS DOUBLE) / count(*)", 2)} AS cong FROM (
+      SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS load FROM lineitem
+      WHERE l_shipdate > {RUN} - INTERVAL 30 DAY AND l_shipdate <= {RUN} AND l_linestatus = 'O' GROUP BY 1, 2) GROUP BY 1),
     q AS (SELECT l_suppkey AS cell, {half_up("100.0 * CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) / count(*)", 4)} AS rate, max(l_linestatus) AS tech
           FROM lineitem WHERE l_shipdate > {RUN} - INTERVAL 30 DAY AND l_shipdate <= {RUN} AND l_linestatus = 'O' GROUP BY 1),
-    j AS (SELECT use.*, rate, tech, row_number() OVER (PARTITION BY id ORDER BY s DESC, use.cell) AS rn FROM use LEFT JOIN q ON use.cell = q.cell)
+    j AS (SELECT use.*, rate, tech, cong, row_number() OVER (PARTITION BY id ORDER BY s DESC, use.cell) AS rn FROM use LEFT JOIN q ON use.cell = q.cell
+          LEFT JOIN busy ON use.cell = busy.cell)
     SELECT id AS subscriber_id, CASE WHEN sum(CASE WHEN rate IS NOT NULL THEN s END) > 0 THEN
              {half_up("sum(rate * s) / CAST(sum(CASE WHEN rate IS NOT NULL THEN s END) AS DOUBLE)", 4)} END AS weighted_drop_rate_exposure,
            {half_up("CAST(sum(CASE WHEN rate IS NOT NULL THEN s ELSE 0 END) AS DOUBLE) / CAST(sum(s) AS DOUBLE)", 4)} AS rated_time_share,
            CAST(count(*) AS BIGINT) AS distinct_cells_30d, max(cell) FILTER (WHERE rn = 1) AS home_cell_id, max(rate) FILTER (WHERE rn = 1) AS home_cell_drop_rate,
+           CASE WHEN sum(CASE WHEN cong IS NOT NULL THEN s END) > 0 THEN
+             {half_up("sum(cong * s) / CAST(sum(CASE WHEN cong IS NOT NULL THEN s END) AS DOUBLE)", 4)} END AS weighted_congestion_exposure,
+           max(cong) FILTER (WHERE rn = 1) AS home_cell_congestion, max(tech) FILTER (WHERE rn = 1) AS home_cell_technology,
+           CAST(sum(dr) AS BIGINT) AS own_dropped_calls_30d, CAST(sum(n) AS BIGINT) AS cell_events_30d,
            {half_up("100.0 * CAST(sum(dr) AS DOUBLE) / CAST(sum(n) AS DOUBLE)", 4)} AS own_drop_rate_30d,
            CASE WHEN count(*) <= 3 THEN 'STATIC' WHEN count(*) <= 20 THEN 'LOCAL' ELSE 'MOBILE' END AS mobility_bucket FROM j GROUP BY 1""")
 def e7(t):
     k = t.lineitem.where("l_linestatus = 'O'").groupBy(F.col("l_suppkey").alias("cell_id"), F.to_date("l_shipdate").alias("window_start")).agg(
         F.count_if(F.col("l_returnflag") == "R").alias("call_drops"), F.count("*").alias("call_attempts"),
-        F.avg("l_tax").alias("prb_utilisation"), F.avg("l_quantity").alias("throughput_mbps"), F.max("l_linestatus").alias("technology"))
+        F.sum(F.col("l_quantity").cast("bigint")).alias("prb_utilisation"), F.avg("l_quantity").alias("throughput_mbps"), F.max("l_linestatus").alias("technology"))
     return churn.network_features(usage_events(t), k, RUN_DATE).select(
         "subscriber_id", "weighted_drop_rate_exposure", "rated_time_share", "distinct_cells_30d", "home_cell_id",
-        "home_cell_drop_rate", "own_drop_rate_30d", "mobility_bucket")
+        "home_cell_drop_rate", "own_drop_rate_30d", "mobility_bucket", "weighted_congestion_exposure", "home_cell_congestion",
+        "home_cell_technology", "own_dropped_calls_30d", "cell_events_30d")
 
 
 REASONS = {"1-URGENT": "BILLING", "2-HIGH": "NETWORK", "3-MEDIUM": "CANCELLATION", "4-NOT SPECIFIED": "DEVICE"}
@@ -273,21 +292,27 @@ def contacts(t):
 CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REASONS.items())
 
 
+CARE_MATRIX = [f"care_{topic.lower()}_{n}d" for topic in churn.TOPICS for n in (720, 30)]
+CARE_COUNTS = ", ".join(f"CAST(count(*) FILTER (WHERE topic = '{topic}' AND ago < {n}) AS BIGINT) AS care_{topic.lower()}_{n}d"
+                        for topic in churn.TOPICS for n in (720, 30))
+
+
 @query("E8_care_features", f"""
     WITH c AS (SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS d, o_orderkey, CASE o_orderpriority {CASES} ELSE 'OTHER' END AS topic, o_orderstatus AS st,
                  CAST(o_orderpriority[1] AS INTEGER) AS csat, date_diff('day', CAST(o_orderdate AS DATE), {RUN}) AS ago FROM orders
                WHERE CAST(o_orderdate AS DATE) <= {RUN} AND CAST(o_orderdate AS DATE) > {RUN} - INTERVAL 720 DAY),
     r AS (SELECT *, COALESCE(date_diff('day', lag(d) OVER (PARTITION BY id, topic ORDER BY d, o_orderkey), d) <= 7, FALSE) AS rep FROM c),
     g AS (SELECT id, count(*) AS n, count(*) FILTER (WHERE ago < 30) AS n30, count(*) FILTER (WHERE rep) AS reps, min(ago) AS since, avg(csat) AS csat, min(csat) AS lowest, avg(id) AS handling,
-            count(*) FILTER (WHERE st <> 'F') AS un, count(*) FILTER (WHERE topic = 'BILLING' AND ago < 720) AS bill, count(*) FILTER (WHERE topic = 'OTHER' AND ago < 720) AS oth,
+            count(*) FILTER (WHERE st <> 'F') AS un, count(*) FILTER (WHERE ago < 7) AS n7, count(DISTINCT st) AS chs, {CARE_COUNTS},
             count(*) FILTER (WHERE topic = 'CANCELLATION' AND ago < 720) AS canc FROM r GROUP BY 1)
     SELECT id AS subscriber_id, CAST(n AS BIGINT) AS care_contacts_720d, CAST(n30 AS BIGINT) AS care_contacts_30d, CAST(reps AS BIGINT) AS repeat_contacts_720d,
-           CAST(since AS INTEGER) AS days_since_last_contact, {half_up("csat", 3)} AS avg_csat, CAST(lowest AS INTEGER) AS min_csat, {half_up("handling", 1)} AS avg_handling_time, CAST(bill AS BIGINT) AS care_billing_720d, CAST(oth AS BIGINT) AS care_other_720d,
+           CAST(since AS INTEGER) AS days_since_last_contact, {half_up("csat", 3)} AS avg_csat, CAST(lowest AS INTEGER) AS min_csat, {half_up("handling", 1)} AS avg_handling_time, {", ".join(CARE_MATRIX)},
+           CAST(n7 AS BIGINT) AS care_contacts_7d, CAST(un AS BIGINT) AS unresolved_720d, CAST(chs AS BIGINT) AS distinct_channels,
            {half_up("CAST(un AS DOUBLE) / n", 4)} AS unresolved_rate, canc > 0 AS asked_about_cancellation, n30 >= 3 OR reps >= 2 AS recent_escalation FROM g""")
 def e8(t):
     return churn.care_features(contacts(t), RUN_DATE, 720, ["o_orderkey"]).select(
         "subscriber_id", "care_contacts_720d", "care_contacts_30d", "repeat_contacts_720d", "days_since_last_contact", "avg_csat",
-        "care_billing_720d", "care_other_720d", "min_csat", "avg_handling_time", "unresolved_rate", "asked_about_cancellation", "recent_escalation")
+        *CARE_MATRIX, "care_contacts_7d", "unresolved_720d", "distinct_channels", "min_csat", "avg_handling_time", "unresolved_rate", "asked_about_cancellation", "recent_escalation")
 
 
 @query("E9_device_features", f"""
@@ -297,7 +322,9 @@ def e8(t):
            CAST(date_diff('day', valid_from, {RUN}) AS INTEGER) AS days_on_current_device, CAST(date_diff('day', {RUN}, ends) AS INTEGER) AS days_to_contract_end,
            ends <= {RUN} AS out_of_contract, date_diff('day', {RUN}, ends) BETWEEN 0 AND 90 AS in_churn_window,
            date_diff('day', valid_from, {RUN}) > 730 AND date_diff('day', {RUN}, ends) < 90 AS device_upgrade_due,
-           attribute <> '1-URGENT' AND attribute IN ('1-URGENT', '2-HIGH') AS paying_for_unusable_5g FROM f""")
+           attribute <> '1-URGENT' AND attribute IN ('1-URGENT', '2-HIGH') AS paying_for_unusable_5g,
+           CASE WHEN attribute IN ('1-URGENT', '2-HIGH') THEN 'Max 5G' ELSE 'Basic' END AS tariff_plan_id, ends AS contract_end_date,
+           CAST(date_diff('day', valid_from, {RUN}) AS INTEGER) AS contract_tenure_days, attribute = '1-URGENT' AS is_5g_capable FROM f""")
 def e9(t):
     h = history(t).withColumnRenamed("o_custkey", "subscriber_id")
     start = F.col("valid_from")
@@ -308,25 +335,44 @@ def e9(t):
                    (F.col("attribute") == "1-URGENT").alias("is_5g_capable"), "valid_from", "valid_to")
     return churn.device_features(con, dev, RUN_DATE).select(
         "subscriber_id", "contract_type", "device_age_days", "days_on_current_device", "days_to_contract_end", "out_of_contract",
-        "in_churn_window", "device_upgrade_due", "paying_for_unusable_5g")
+        "in_churn_window", "device_upgrade_due", "paying_for_unusable_5g", "tariff_plan_id", "contract_end_date", "contract_tenure_days",
+        "is_5g_capable")
+
+
+#: the six feature domains: name in the wide table and the query that builds them
+DOMAINS = {"usage": ("E4_usage_features", e4), "billing": ("E5_billing_features", e5), "topup": ("E6_topup_features", e6),
+           "network": ("E7_network_features", e7), "care": ("E8_care_features", e8), "device": ("E9_device_features", e9)}
+DOMAIN_SQL = ", ".join(f"""{d}_in AS ({ORACLES[name]}), {d} AS (SELECT * EXCLUDE ({d}__subscriber_id) FROM (
+    SELECT subscriber_id AS id, COLUMNS('^(.*)$') AS "{d}__\\1" FROM {d}_in))""" for d, (name, _) in DOMAINS.items())
+WIDE = f"""{SUBSCRIBERS}, {DOMAIN_SQL}, wide AS (
+    SELECT s.id AS subscriber_id, market, status, CAST(date_diff('day', act, {RUN}) AS INTEGER) AS tenure_days,
+           {", ".join(f"{d}.* EXCLUDE (id)" for d in DOMAINS)}, CASE WHEN churn IS NULL THEN 0 WHEN churn <= {RUN} + INTERVAL 30 DAY THEN 1 ELSE 0 END AS label_churned_30d,
+           TRUE AS label_is_observable, CASE WHEN CAST(CAST('0x' || substring(sha256('split|' || s.id), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.8 THEN 'train' ELSE 'validation' END AS split
+    FROM s {" ".join(f"LEFT JOIN {d} ON s.id = {d}.id" for d in DOMAINS)} WHERE act <= {RUN} AND (churn IS NULL OR churn > {RUN}))"""
 
 
-@query("E10_subscriber_360", f"""
-    WITH {SUBSCRIBERS}, {USAGE.format(run=RUN, days=90)}, a AS (SELECT id, count(*) AS events, sum(sec) AS sec FROM u GROUP BY 1),
-    b AS (SELECT o_custkey AS id, count(*) AS bills FROM orders WHERE CAST(o_orderdate AS DATE) <= {RUN} GROUP BY 1)
-    SELECT s.id AS subscriber_id, market, status, CAST(date_diff('day', act, {RUN}) AS INTEGER) AS tenure_days, CAST(events AS BIGINT) AS usage__events,
-           CAST(sec AS BIGINT) AS usage__sec, CAST(bills AS BIGINT) AS billing__bills, CASE WHEN churn IS NULL THEN 0 WHEN churn <= {RUN} + INTERVAL 30 DAY THEN 1 ELSE 0 END AS label_churned_30d,
-           TRUE AS label_is_observable, CASE WHEN CAST(CAST('0x' || substring(sha256('split|' || s.id), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.8 THEN 'train' ELSE 'validation' END AS split
-    FROM s LEFT JOIN a ON s.id = a.id LEFT JOIN b ON s.id = b.id WHERE act <= {RUN} AND (churn IS NULL OR churn > {RUN})""")
-def e10(t):
-    use = churn.lookback(usage_events(t), "event_date", RUN_DATE, 90).groupBy("subscriber_id").agg(
-        F.count("*").alias("events"), F.sum("duration_sec").alias("sec"))
-    bill = bills(t).where(F.col("bill_date") <= F.lit(RUN_DATE).cast("date")).groupBy("subscriber_id").agg(F.count("*").alias("bills"))
-    wide = churn.assemble(churn.active_base(subscribers(t), RUN_DATE), {"usage": use, "billing": bill}, ["subscriber_id"])
+def subscriber_360(t):
+    wide = churn.assemble(churn.active_base(subscribers(t), RUN_DATE), {d: build(t) for d, (_, build) in DOMAINS.items()}, ["subscriber_id"])
     return churn.with_label(wide, RUN_DATE, "2002-01-01").withColumn("split", churn.split_of(["subscriber_id"])).drop(
         "segment", "activation_date")
 
 
+@query("E10_subscriber_360", f"WITH {WIDE} SELECT * FROM wide")
+def e10(t):
+    return subscriber_360(t)
+
+
+MODEL_FEATURES = ["tenure_days", "usage__voice_sec_90d", "usage__voice_trend_7_90", "billing__bill_shock_ratio", "billing__late_payments_12m",
+                  "topup__overdue_ratio", "network__weighted_drop_rate_exposure", "care__recent_escalation", "device__days_to_contract_end"]
+
+
+@query("E10_model_sets", f"""
+    WITH {WIDE}, told AS (SELECT subscriber_id, split, label_churned_30d AS label, {", ".join(f"CAST(COALESCE(CAST({c} AS DOUBLE), 0) AS DOUBLE) AS {c}" for c in MODEL_FEATURES)} FROM wide)
+    SELECT split AS model_set, * EXCLUDE (split) FROM told UNION ALL SELECT 'inference', * EXCLUDE (split) REPLACE (NULL AS label) FROM told""")
+def e10_sets(t):
+    return churn.model_sets(subscriber_360(t), ["subscriber_id"], "label_churned_30d", "split", MODEL_FEATURES)
+
+
 @query("E11_publish_scores", """
     SELECT DATE '2000-06-30' AS score_date, c_custkey AS subscriber_id, p AS churn_probability, tile AS risk_decile,
            CASE WHEN tile = 1 THEN 'CRITICAL' WHEN tile <= 2 THEN 'HIGH' WHEN tile <= 5 THEN 'MEDIUM' ELSE 'LOW' END AS risk_band, 'churn-xgb-20000630' AS model_version
