@@ -712,6 +712,29 @@ def e22(t):
     return erasure_job.evidence(steps, gone, "user_id", KEYS, ORDER)
 
 
+@query("E22_full_sequence", f"""
+    WITH {LOG}, gone AS (SELECT DISTINCT user_id FROM events WHERE value > 200), mine AS (SELECT * FROM log WHERE op <> 'delete' AND user_id IN (SELECT user_id FROM gone)),
+    st AS (SELECT * FROM {state_sql(1000)}), late AS (SELECT * FROM log WHERE op <> 'delete' AND value > 250),
+    n AS (SELECT (SELECT count(*) FROM mine) AS held, (SELECT count(*) FROM st WHERE user_id IN (SELECT user_id FROM gone)) AS seen,
+            (SELECT count(*) FROM st WHERE user_id NOT IN (SELECT user_id FROM gone)) AS live, (SELECT count(*) FROM late) AS late_rows,
+            (SELECT count(DISTINCT user_id) FROM late) AS late_users),
+    steps AS (SELECT 'requested' AS step, seen AS v, held AS h, held AS s, live FROM n UNION ALL SELECT 'deleted', 0, held, held, live FROM n
+      UNION ALL SELECT 'rewritten', 0, held, held, live FROM n UNION ALL SELECT 'expired', 0, 0, held, live FROM n
+      UNION ALL SELECT 'unreferenced_removed', 0, 0, 0, live FROM n UNION ALL SELECT 'verified', late_users, late_rows, late_rows, live FROM n
+      UNION ALL SELECT 'attested', 0, 0, 0, live FROM n)
+    SELECT step, CAST(v AS BIGINT) AS visible_rows, CAST(h AS BIGINT) AS rows_in_history, CAST(s AS BIGINT) AS rows_stored, CAST(live AS BIGINT) AS live_rows,
+           v + h + s = 0 AS erased FROM steps""")
+def e22_full(t):
+    log = version_log(t)
+    gone = t.events.where("value > 200").select("user_id").distinct()
+    steps = erasure_job.sequence(log, gone, "user_id", KEYS, 1000, "2024-02-01 00:00:00", ORDER)
+    # rows that land before the check are found by it and take a second pass
+    late = log.where("op <> 'delete' AND value > 250").withColumn("commit_id", F.col("commit_id") + 2000)
+    landed = steps["unreferenced_removed"][0].unionByName(late)
+    again = erasure_job.sequence(landed, gone, "user_id", KEYS, 9000, "2024-02-08 00:00:00", ORDER)
+    return erasure_job.attest({**steps, "verified": (landed, landed), "attested": again["unreferenced_removed"]}, gone, "user_id", KEYS, ORDER)
+
+
 @query("E24_hourly_metrics", f"""
     SELECT event_type, {ts("date_trunc('hour', ts)")} AS hour, CAST(count(*) AS BIGINT) AS orders, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM events GROUP BY 1, 2""")
 def e24(t):
