@@ -5,5 +5,6 @@ from lakeops.queries import (  # noqa: F401
     joined,
     projections,
     state,
+    stored,
     windowed,
 )

@@ -480,7 +480,7 @@ def k15(t):
     return writers.replace_dates(current, staged, "d").groupBy("d").agg(F.count("*").alias("n"), F.sum("w").alias("w"))
 
 
-@query("K18_temp_view")
+@query("K18_temp_view", "SELECT n_regionkey, CAST(count(*) AS BIGINT) AS count FROM nation GROUP BY 1")
 def k18(t):
     return writers.register_view(t.nation, "lakeops_nation").groupBy("n_regionkey").count()
 
@@ -613,7 +613,7 @@ def g16(t):
     return gates.shares(t.events, {"orphan": F.col("event_type") == "error", "implausible": F.col("value") > 200})
 
 
-@query("G18_volume_route")
+@query("G18_volume_route", "SELECT CASE WHEN count(*) > 50000 THEN 'large' ELSE 'small' END AS route FROM lineitem")
 def g18(t):
     return gates.volume_route(t.lineitem, 50_000)
 
