@@ -52,14 +52,13 @@ def numeric_psi(baseline: DataFrame, today: DataFrame, columns: Sequence[str],
     base, now = (_long(df, columns, "double").where(F.col("v").isNotNull()) for df in (baseline, today))
     edges = frozen_edges(base, max_rows)
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        binned = df.join(F.broadcast(edges), "feature").select(
-            "feature", F.size(F.filter("inner", lambda x: x <= F.col("v"))).alias("bin"))
-        return binned.groupBy("feature", "bin").agg(F.count("*").alias(name))
-
+    # both populations are binned and counted together: one broadcast of the edges, one shuffle of cells
+    stacked = base.withColumn("old", F.lit(1)).unionByName(now.withColumn("old", F.lit(0)))
+    counted = stacked.join(F.broadcast(edges), "feature").groupBy(
+        "feature", F.size(F.filter("inner", lambda x: x <= F.col("v"))).alias("bin")).agg(
+        F.sum("old").alias("e"), F.sum(1 - F.col("old")).alias("a"))
     every = edges.select("feature", "n_edges", F.explode(F.sequence(F.lit(0), F.size("inner"))).alias("bin"))
-    cells = (every.join(counted(base, "e"), ["feature", "bin"], "left")
-             .join(counted(now, "a"), ["feature", "bin"], "left").na.fill(0, ["e", "a"]))
+    cells = every.join(counted, ["feature", "bin"], "left").na.fill(0, ["e", "a"])
     # a feature has at most BINS cells
     feature = Window.partitionBy("feature")
     scored = _index(cells.withColumns({"en": F.sum("e").over(feature), "an": F.sum("a").over(feature)}), ["n_edges"])
