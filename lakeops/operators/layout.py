@@ -86,8 +86,8 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 1
     """Cluster by the interleaved bits of each column's rank bucket.
 
     The buckets come from approximate quantiles, so spread does not depend on the
-    value distribution: at most 2**bits numbers per column reach the plan. Strings
-    are compared whole: their cuts are the bounds of a range partitioning.
+    value distribution: at most 2**bits values per column reach the plan. Strings
+    are compared whole: their cuts are the bounds of as many ranges.
     ``first`` columns lead the order, plainly sorted.
     """
     n = 2 ** bits
@@ -95,7 +95,7 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 1
     texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
     numbers = [c for c in columns if c not in texts]
     cuts = df.agg(F.lit(0), *[F.percentile_approx(_number(df, c), probabilities, 10_000).alias(c) for c in numbers]).first().asDict()
-    cuts |= {c: _text_cuts(df, c) for c in texts}
+    cuts |= {c: _text_cuts(df, c, n) for c in texts}
     buckets = []
     for c in columns:
         marks = sorted(set(cuts[c] or []), key=lambda m: m.encode() if isinstance(m, str) else m)
@@ -110,7 +110,7 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 1
             .sortWithinPartitions(*first, "__z").drop("__z"))
 
 
-def _text_cuts(df: DataFrame, c: str, parts: int = 64) -> list[str]:
+def _text_cuts(df: DataFrame, c: str, parts: int) -> list[str]:
     """Lowest value of each of ``parts`` ranges of a string column, whole strings in byte order."""
     dealt = df.where(F.col(c).isNotNull()).select(c).repartitionByRange(parts, c)
     return [r[0] for r in dealt.groupBy(F.spark_partition_id()).agg(F.min(c)).select(f"min({c})").collect()]
