@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe, chat, classifier, line_dedup, merkle, mixing, quality_rules, simhash, suffix_dedup, token_counts
+from lakeops.llm import (bpe, centroids, chat, classifier, learned_partitions, line_dedup, merkle, mixing, quality_rules, simhash,
+                         suffix_dedup, token_counts)
 from lakeops.session import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +195,41 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digest(docs, tokenizer("word_bpe_49k.json"), keep=["doc_id"])
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(load_table(spark, sf_dir, "embeddings"), keep=["vec_id"]).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _rounds(n: int) -> str:
+    """The assignment and the moves of ``n`` rounds, then the last assignment ``a{n}``."""
+    near = lambda k: f"""
+a{k} AS MATERIALIZED (
+  SELECT row, vec_id, v, (d).cluster AS cluster, (d).distance AS distance FROM (
+    SELECT row, vec_id, v, min({{'distance': list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT,
+      'cluster': cluster}}) AS d FROM kept, c{k} GROUP BY ALL))"""
+    move = lambda k: f"""
+s{k} AS (SELECT cluster, i, sum(v[i]) AS s, count(*) AS n FROM a{k}, range(1, 65) AS r(i) GROUP BY ALL),
+m{k} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS moved FROM s{k} GROUP BY cluster),
+c{k + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(moved, c) AS c FROM c{k} AS c LEFT JOIN m{k} USING (cluster))"""
+    return ",".join(near(k) + "," + move(k) for k in range(n)) + "," + near(n)
+
+
+ORACLES["op12_centroid_clustering"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INTEGER) AS cluster, v AS c
+  FROM kept QUALIFY cluster < 40),{_rounds(5)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a5 JOIN c5 USING (cluster)
+"""
+
+
+@query
+def op13_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(load_table(spark, sf_dir, "embeddings"))
