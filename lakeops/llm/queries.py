@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import (bpe, centroids, chat, classifier, learned_partitions, line_dedup, merkle, mixing, quality_rules, simhash,
-                         suffix_dedup, token_counts)
+                         spelling, suffix_dedup, token_counts)
 from lakeops.session import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,6 +197,52 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(docs, tokenizer("word_bpe_49k.json"), keep=["doc_id"])
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load_table(spark, sf_dir, "documents"), drop=199)
+
+
+#: single-byte stand-ins, for a distance that counts bytes
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+_STAND_INS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~"
+
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda a, k: xor(a >> 1, 3988292384 * (a & 1))) AS c FROM range(256) AS r(i))),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+lowered AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    [4294967295] || flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM lowered, crc),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n, translate(word, '{_ACCENTED}', '{_STAND_INS}') AS x FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+      ELSE run END AS word FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+keys AS (
+  SELECT word, n, x, l, side, CASE WHEN side = 1 THEN substr(word, 1, CAST(l // 2 AS INTEGER)) ELSE right(word, CAST(l - l // 2 AS INTEGER)) END AS half
+  FROM (SELECT *, length(word) + unnest([-1, 0, 1]) AS l FROM words), (VALUES (1), (2)) AS s(side)),
+pairs AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM keys AS a JOIN keys AS b USING (l, side, half)
+  WHERE a.l = length(a.word) AND levenshtein(a.x, b.x) = 1),
+best AS (
+  SELECT word, count(*) AS n_near, min({{'less': -near_n, 'near': near}}) AS b FROM pairs GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -(b).less >= 5 * w.n THEN (b).near END AS form,
+    CASE WHEN -(b).less >= 5 * w.n THEN -(b).less END AS form_n FROM words AS w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL SELECT walk.word, walk.next, f.form FROM walk JOIN formed AS f ON f.word = walk.next)
+SELECT f.word, n, n_near, form, form_n, root FROM formed AS f JOIN walk ON f.word = walk.word AND walk.next IS NULL
+"""
+
+
 @query
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(load_table(spark, sf_dir, "embeddings"), keep=["vec_id"]).select(
