@@ -2,12 +2,14 @@
 
 A bounded sample of vectors gives a graph of nearest neighbours; the graph is cut into parts of equal size (recursive
 spectral bisection, then moves along the edges within the size limit), and a small two-layer network learns to tell a
-vector's parts from the vector. Every vector of the table is indexed in its most probable part. A part that is still large
-is cut in the same way, from a sample of its own, so the parts form a tree of routers and their number grows with the table.
-A query goes down the tree to its most probable leaves and is compared with every vector there, in double precision.
+vector's parts from the vector. Every vector of the table is indexed in its most probable part. Parts that are still large
+are cut in the same way, each from a sample of its own, so the parts form a tree of routers. A query goes down the tree to its
+most probable leaves and is compared with every vector there, in double precision.
 
 How many leaves a query needs is measured, not guessed: for ``ASKED`` queries the true neighbours in the whole table are
-found by brute force, and the least number of leaves that holds ``RECALL`` of them is used for all.
+found by brute force, and the least number of leaves that holds ``RECALL`` of them is used for all. The same measure says
+whether another level of the tree pays: it stays if queries then meet at most ``PAYS`` of the entries they met before. Vectors
+without any structure need most leaves however fine they are, and more leaves would only multiply the rows that are sent.
 
 Equal vectors are one entry of the index and share one score; of their ids only the smallest matter to a query, one
 more than it wants (the one to spare is its own). So a vector that a third of all rows hold costs no more than another,
@@ -45,6 +47,7 @@ HIDDEN = 32
 ROUTER_BYTES = 32 << 20
 ASKED = 256                 # queries for which recall is measured
 RECALL = 0.95
+PAYS = 0.8
 BLOCK = 4_096               # entries, or queries, of a block, about
 ROOT = 1
 
@@ -193,14 +196,18 @@ def matrix(column: pa.Array, kind: np.dtype) -> np.ndarray:
 class Index:
     """Routers, and the vectors of a table as entries: ``key`` (128 bits of the vector), ``x`` (its bytes), ``low`` (smallest id)."""
 
-    def __init__(self, df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", leaf: int = LEAF, sample: int = SAMPLE,
-                 router_bytes: int = ROUTER_BYTES, block: int = BLOCK):
-        self.spark, self.leaf, self.sample, self.router_bytes, self.block = df.sparkSession, leaf, sample, router_bytes, block
+    def __init__(self, df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", every: int = EVERY, top: int = TOP,
+                 recall: float = RECALL, asked: int = ASKED, leaf: int = LEAF, sample: int = SAMPLE, router_bytes: int = ROUTER_BYTES, block: int = BLOCK):
+        self.spark, self.top, self.recall = df.sparkSession, top, recall
+        self.leaf, self.sample, self.router_bytes, self.block = leaf, sample, router_bytes, block
         self.kind = np.dtype(np.float32 if isinstance(df.schema[vector].dataType.elementType, T.FloatType) else np.float64)
         self.rows = self._rows(df, vec_id, vector)
         self.entries = cut(self.rows.groupBy("key").agg(F.first("x").alias("x"), F.min("id").alias("low")))
+        self.ask = cut(self.rows.where(F.col("id") % every == 0).select("id", "key").distinct())
+        self.per_key = self.ask.groupBy("key").agg(F.count("*").alias("n"))
+        self.asking = self.entries.join(self.per_key, "key").select("key", "x")
         self.tree: dict[int, Router] = {}
-        self._grow()
+        self._grow(*self._truth(asked))
 
     def _rows(self, df: DataFrame, vec_id: str, vector: str) -> DataFrame:
         """Id, key and bytes of the vectors that take part."""
@@ -243,20 +250,29 @@ class Index:
         leaves = self._map(lambda b, x, tree: [pa.array(place(x, tree))], "leaf bigint")
         return {r["leaf"]: r["n"] for r in leaves.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
 
-    def _grow(self) -> None:
-        """Put routers on the leaves that are too large until none is, or the routers' bytes are used up."""
-        kind, whole = self.kind, {ROOT: 0}
+    def _grow(self, asked: np.ndarray, query: np.ndarray, near: np.ndarray) -> None:
+        """Put routers on the leaves that are too large, level by level, while that pays and the routers' bytes last.
+
+        Sets ``counts`` (entries per leaf), ``width`` (leaves to look into) and ``share`` (of the entries a query meets).
+        """
+        kind, whole, tried, before = self.kind, {ROOT: 0}, set(), None
         while True:
             self.counts = sizes = self.sizes()
+            self.width, self.share = self._width(asked, query, near)
+            if before is not None and before[0] and self.share > PAYS * before[3]:
+                self.tree, self.counts, self.width, self.share = before
+                return
+            before = dict(self.tree), self.counts, self.width, self.share
             # a part that took almost all of its parent's vectors cannot be cut by a router
-            large = sorted((n for n in sizes if sizes[n] > self.leaf and n < 1 << 54
+            large = sorted((n for n in sizes if sizes[n] > self.leaf and n < 1 << 54 and n not in tried
                             and (n == ROOT or 10 * sizes[n] < 9 * whole[n // (2 * PARTS)])), key=lambda n: (-sizes[n], n))
             each = max((len(pickle.dumps(r)) for r in self.tree.values()), default=0)
             if each:
                 large = large[:max(0, self.router_bytes // each - len(self.tree))]
             if not large:
                 return
-            whole = {n: sizes[n] for n in large}
+            tried |= set(large)
+            whole |= {n: sizes[n] for n in large}
             parts = {n: min(PARTS, 1 << (-(-sizes[n] // self.leaf) - 1).bit_length()) for n in large}
             share = {n: min(1.0, self.sample / sizes[n]) for n in large}
 
@@ -278,57 +294,60 @@ class Index:
             new = {r["node"]: pickle.loads(r["router"]) for r in learned if r["router"]}
             if not new:
                 return
-            self.tree |= new
+            self.tree = self.tree | new
 
     # -------------------------------------------------------------- queries
-    def width(self, asking: DataFrame, top: int = TOP, recall: float = RECALL, asked: int = ASKED) -> int:
-        """Leaves to look into: the fewest that hold ``recall`` of the true neighbours of ``asked`` of the queries (key, x)."""
-        some = asking.orderBy("key").limit(asked).collect()
-        if not some:
-            return 1
-        x = np.frombuffer(b"".join(r["x"] for r in some), self.kind).reshape(len(some), -1)
+    def _truth(self, asked: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``asked`` of the queries, and their true neighbours by brute force: vectors, numbers of the queries, neighbours."""
+        some, top, kind = self.asking.orderBy("key").limit(asked).collect(), self.top, self.kind
+        x = np.frombuffer(b"".join(r["x"] for r in some), kind).reshape(len(some), -1 if some else 1)
         own = np.array([r["key"] for r in some], object)
-        held, kind = Shipped(self.spark, (x.astype(np.float64), own, self.tree)), self.kind
+        held = Shipped(self.spark, (x.astype(np.float64), own))
 
         def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            (q, own, tree), best = held.value, None
+            (q, own), best = held.value, None
             for batch in batches:
-                if not batch.num_rows:
+                if not batch.num_rows or not len(q):
                     continue
                 y = matrix(batch["x"], kind)
                 score = q @ y.T.astype(np.float64)
                 score[own[:, None] == np.array(batch["key"].to_pylist(), object)[None, :]] = -np.inf
-                leaf = np.broadcast_to(place(y, tree), score.shape)
-                if best is not None:
-                    score, leaf = np.c_[best[0], score], np.c_[best[1], leaf]
+                found = np.broadcast_to(y, (len(q), *y.shape))
                 if score.shape[1] > top:
                     at = np.argpartition(-score, top - 1, axis=1)[:, :top]
-                    score, leaf = np.take_along_axis(score, at, 1), np.take_along_axis(leaf, at, 1)
-                best = score, leaf
+                    score, found = np.take_along_axis(score, at, 1), y[at]
+                if best is not None:
+                    score, found = np.concatenate([best[0], score], 1), np.concatenate([best[1], found], 1)
+                    at = np.argsort(-score, axis=1, kind="stable")[:, :top]
+                    score, found = np.take_along_axis(score, at, 1), np.take_along_axis(found, at[:, :, None], 1)
+                best = score, found
             if best is not None:
                 number = np.repeat(np.arange(len(q)), best[0].shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(np.ascontiguousarray(best[1]).ravel()), pa.array(best[0].ravel())],
-                                                 names=["query", "leaf", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(best[0].ravel()), pa.array(
+                    [v.tobytes() for v in best[1].reshape(-1, best[1].shape[2])], pa.binary())], names=["query", "score", "x"])
 
-        first = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "leaf"))
-        found = (self.entries.mapInArrow(nearest, "query bigint, leaf bigint, score double").where(F.col("score") > float("-inf"))
+        first = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "x"))
+        found = (self.entries.mapInArrow(nearest, "query bigint, score double, x binary").where(F.col("score") > float("-inf"))
                  .withColumn("rn", first).where(F.col("rn") <= top).toPandas())      # at most ``asked`` times ``top`` rows
-        true = np.c_[found["query"].to_numpy(np.int64), found["leaf"].to_numpy(np.int64)]
-        width, leaves = 1, max(1, len(self.counts))
-        while width < leaves:
-            pairs = set(zip(*(c.tolist() for c in probable(x, self.tree, width))))
-            if not len(true) or np.mean([p in pairs for p in map(tuple, true.tolist())]) >= recall:
-                break
+        return x, found["query"].to_numpy(np.int64), np.frombuffer(b"".join(found["x"]), kind).reshape(len(found), -1 if len(found) else 1)
+
+    def _width(self, asked: np.ndarray, query: np.ndarray, near: np.ndarray) -> tuple[int, float]:
+        """The fewest leaves that hold ``recall`` of the true neighbours, and the share of the entries in them."""
+        width, leaves, total = 1, max(1, len(self.counts)), max(1, sum(self.counts.values()))
+        if not len(query):
+            return leaves, 1.0
+        true = list(zip(query.tolist(), place(near, self.tree).tolist()))
+        while True:
+            of, leaf = probable(asked, self.tree, width)
+            pairs = set(zip(of.tolist(), leaf.tolist()))
+            if width >= leaves or np.mean([p in pairs for p in true]) >= self.recall:
+                return width, sum(self.counts.get(n, 0) for n in leaf.tolist()) / len(asked) / total
             width = min(leaves, width + max(1, width // 8))
-        return width
 
-    def search(self, every: int = EVERY, top: int = TOP, recall: float = RECALL, asked: int = ASKED) -> DataFrame:
-        """``query_id``, ``rank``, ``vec_id``, ``score``: the nearest found for the ids divisible by ``every``."""
-        ask = cut(self.rows.where(F.col("id") % every == 0).select("id", "key").distinct())
-        per_key = ask.groupBy("key").agg(F.count("*").alias("n"))
-        asking = self.entries.join(per_key, "key").select("key", "x")
-        self.leaves = self.width(asking, top, recall, asked)
-        best = cut(self._nearest(asking, self.leaves, top + 1))
+    def search(self) -> DataFrame:
+        """``query_id``, ``rank``, ``vec_id``, ``score``: the nearest found for the ids that ask."""
+        ask, per_key, top = self.ask, self.per_key, self.top
+        best = cut(self._nearest(self.asking, self.width, top + 1))
 
         # of equal vectors the smallest ids matter, one more than wanted
         place_of = F.row_number().over(Window.partitionBy("key").orderBy(F.col("id").asc_nulls_last()))
@@ -412,4 +431,4 @@ def best_of(q: np.ndarray, x: np.ndarray, top: int) -> tuple[np.ndarray, np.ndar
 
 def search(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", every: int = EVERY, top: int = TOP, recall: float = RECALL) -> DataFrame:
     """The nearest rows found for every row whose id is divisible by ``every``; see ``Index.search``."""
-    return Index(df, vec_id, vector).search(every, top, recall)
+    return Index(df, vec_id, vector, every, top, recall).search()

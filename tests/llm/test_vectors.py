@@ -96,9 +96,8 @@ def brute_neighbours(rows, every, top):
 
 
 def answers(df, **how):
-    every, top = how.pop("every", 20), how.pop("top", 20)
-    index = parts.Index(df, **how)
-    return index, sorted((tuple(r) for r in index.search(every, top, recall=2.0).select("query_id", "rank", "vec_id", "score").collect()), key=str)
+    index = parts.Index(df, recall=2.0, **how)
+    return index, sorted((tuple(r) for r in index.search().select("query_id", "rank", "vec_id", "score").collect()), key=str)
 
 
 @pytest.mark.parametrize("how", [{}, {"leaf": 16, "block": 7}, {"leaf": 30, "sample": 40, "every": 5, "top": 3}, {"leaf": 16, "router_bytes": 5_000}])
@@ -137,7 +136,7 @@ def test_recall_is_reached_with_few_leaves_on_clustered_vectors(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema()).repartition(6)
     index = parts.Index(df, leaf=100)
     found = index.search()
-    assert len(index.counts) >= 40 and index.leaves <= len(index.counts) // 3
+    assert len(index.counts) >= 32 and index.share <= 1 / 3
     assert max(index.counts.values()) <= 400
     got = {}
     for r in found.collect():
@@ -150,6 +149,18 @@ def test_recall_is_reached_with_few_leaves_on_clustered_vectors(spark):
     assert hits / (300 * 20) >= 0.9
 
 
+def test_another_level_stays_only_if_it_pays(spark):
+    rng = np.random.default_rng(4)
+    noise = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((3_000, 32)).astype(np.float32))], schema())
+    index = parts.Index(noise, leaf=20, sample=500)
+    assert len(index.counts) <= parts.PARTS and set(index.tree) == {parts.ROOT}
+    centre = 3 * rng.standard_normal((600, 16))
+    x = (centre[rng.integers(0, 600, 6_000)] + 0.1 * rng.standard_normal((6_000, 16))).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    groups = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema()).repartition(6)
+    assert len(parts.Index(groups, leaf=20, top=5).tree) > 1
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(3)
     x = np.repeat(np.eye(8) * 3, 50, axis=0) + 0.3 * rng.standard_normal((400, 8))
