@@ -7,13 +7,17 @@ the boundary, refresh the two neighbouring ranks, until no pair has a rank. A lo
 through a heap, so that its cost stays near-linear. Encoded words are kept per worker in a bounded
 cache, which changes nothing but the speed.
 
-Defined cases: a null text is the empty text, which has no tokens and decodes to the empty text.
+The decoded text is made from the ids alone.
+
+Defined cases: a null text is the empty text, which has no tokens and decodes to the empty text; repeated rows are coded each;
+a text of any length is coded whole, long words through the heap; an empty table gives an empty result.
 """
 from __future__ import annotations
 
 import hashlib
 import heapq
 import json
+import os
 import re
 import unicodedata
 from array import array
@@ -72,11 +76,13 @@ class Encoder:
         self.last = [vocab[c + self.end] for c in self.letters]
         self.special = spec["special"]
         self.tokens = {i: t for t, i in [*vocab.items(), *self.special.items()]}
+        # no special string can match where what they all begin with does not stand
+        self.begins = os.path.commonprefix(list(self.special)) if self.special else None
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         self.words = regex.compile(spec["pattern"]).findall
         self.pattern = spec["pattern"]
         self.library = None
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word."""
@@ -123,10 +129,9 @@ class Encoder:
                         heapq.heappush(heap, (r, k, a, b))
         return [p for p in parts if p >= 0]
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers and decoded text of one word that the cache lacks."""
-        ids = self.merge(word)
-        found = array("I", ids).tobytes(), " ".join([self.tokens[i] for i in ids])
+    def word(self, word: str) -> bytes:
+        """Ids, as little-endian 32-bit integers, of one word that the cache lacks."""
+        found = array("I", self.merge(word)).tobytes()
         if len(word) <= CACHED_CHARS:
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
@@ -151,17 +156,26 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers, and the text they decode to."""
+        ids = self.ids(text)
+        return ids, self.decode(ids)
+
+    def ids(self, text: str) -> bytes:
         get, word, found = self.cache.get, self.word, []
-        for n, part in enumerate(self.cut.split(text)) if "<|" in text else ((0, text),):
+        special = self.begins is not None and self.begins in text
+        for n, part in enumerate(self.cut.split(text)) if special else ((0, text),):
             if n % 2:
-                found.append((array("I", [self.special[part]]).tobytes(), part))
+                found.append(array("I", [self.special[part]]).tobytes())
             elif part:
                 found += [get(w) or word(w) for w in self.cut_words(part)]
-        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found])
+        return b"".join(found)
 
     def decode(self, ids: bytes) -> str:
         """Tokens of the ids, joined by spaces; ids without a token are passed over."""
-        return " ".join([self.tokens[i] for i in array("I", ids) if i in self.tokens])
+        numbers = array("I", ids)
+        try:
+            return " ".join(map(self.tokens.__getitem__, numbers))
+        except KeyError:
+            return " ".join([self.tokens[i] for i in numbers if i in self.tokens])
 
 
 def _coded(docs: DataFrame, path: str, text: str, keep: Sequence[str] | None, fields: T.StructType) -> DataFrame:

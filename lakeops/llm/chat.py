@@ -7,8 +7,8 @@ that score, and the chosen leaves walk up again through the same jumps, which li
 their path once. Each path becomes one formatted conversation.
 
 Template: every turn stands between an opening and a closing mark of its role. In texts and role names
-``\\``, ``<`` and ``[`` are escaped (``\\\\``, ``\\l``, ``\\b``), so no mark and no control string can be formed by a
-text, and the texts come back exactly.
+``\\``, ``<`` and ``[`` are escaped (``\\\\``, ``\\l``, ``\\b``), in role names ``>`` as well (``\\g``), so no mark and no control
+string can be formed by a text or a role, and both come back exactly.
 
 Defined cases: a null text or role is empty; a message whose parent is missing or null is a root; turns
 with the same number are ordered by role and text, nulls first; rows with a null conversation form one
@@ -36,19 +36,21 @@ def escaped(text: Column) -> Column:
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", lambda m: {"l": "<", "b": "["}.get(m[1], m[1]), text, flags=re.S)
+    return re.sub(r"\\(.)", lambda m: {"l": "<", "b": "[", "g": ">"}.get(m[1], m[1]), text, flags=re.S)
 
 
 def marked(role: Column, text: Column) -> Column:
     """One turn in the template."""
-    out = F.concat(F.lit("<<ROLE "), escaped(role), F.lit(">>"), escaped(text), F.lit("<</ROLE>>"))
+    named = F.replace(escaped(role), F.lit(">"), F.lit("\\g"))
+    out = F.concat(F.lit("<<ROLE "), named, F.lit(">>"), escaped(text), F.lit("<</ROLE>>"))
     for name, (start, end) in MARKS.items():
         out = F.when(role == name, F.concat(F.lit(start), escaped(text), F.lit(end))).otherwise(out)
     return out
 
 
-#: a turn: its opening mark, then the text up to the closing mark; escaped texts hold neither < nor [
-_TURN = re.compile(r"(?:(\[INST\] )|(<s>)|(<<SYS>>)|<<ROLE ([^<\[]*?)>>)([^<\[]*?)(?: \[/INST\]|</s>|<</SYS>>|<</ROLE>>)", re.S)
+#: a turn: its opening mark, the text, the closing mark of the same role; escaped texts hold neither < nor [, escaped roles no > either
+_TURN = re.compile(r"\[INST\] ([^<\[]*) \[/INST\]|<s>([^<\[]*)</s>|<<SYS>>([^<\[]*)<</SYS>>|<<ROLE ([^<\[>]*)>>([^<\[]*)<</ROLE>>", re.S)
+_ROLES = {1: "user", 2: "assistant", 3: "system"}
 
 
 def read_back(formatted: str) -> list[tuple[str, str, int, int]]:
@@ -57,9 +59,8 @@ def read_back(formatted: str) -> list[tuple[str, str, int, int]]:
     for m in _TURN.finditer(formatted):
         if m.start() != at:
             raise ValueError("not a formatted conversation")
-        at = m.end()
-        role = "user" if m[1] else "assistant" if m[2] else "system" if m[3] else unescape(m[4])
-        out.append((role, unescape(m[5]), m.start(5), m.end(5)))
+        at, k = m.end(), m.lastindex
+        out.append((_ROLES.get(k) or unescape(m[4]), unescape(m[k]), m.start(k), m.end(k)))
     if at != len(formatted):
         raise ValueError("not a formatted conversation")
     return out

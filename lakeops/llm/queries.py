@@ -163,7 +163,7 @@ WITH turns AS (
 sized AS (
   SELECT *, length(text) + length(regexp_replace(text, '[^<\[\\]', '', 'g'))
     + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15
-      ELSE 18 + length(role) + length(regexp_replace(role, '[^<\[\\]', '', 'g')) END AS chars FROM turns)
+      ELSE 18 + length(role) + length(regexp_replace(role, '[^<>\[\\]', '', 'g')) END AS chars FROM turns)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
