@@ -47,6 +47,11 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def columns_named(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col(f"`{n}`") for n in names]
+
+
 def map_rows(df: DataFrame, keep: Sequence[str], fields: T.StructType, inputs: Sequence[str],
              work: Callable[..., dict[str, Sequence]]) -> DataFrame:
     """Append columns computed per Arrow batch.
@@ -56,15 +61,17 @@ def map_rows(df: DataFrame, keep: Sequence[str], fields: T.StructType, inputs: S
     """
     names = {f.name for f in fields}
     keep = [c for c in keep if c not in names]
-    slim = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, *inputs])])
-    schema = T.StructType([slim.schema[c] for c in keep] + list(fields))
+    read = list(dict.fromkeys([*keep, *inputs]))
+    # by number: Spark resolves the names of what it hands to Arrow, and a name may hold a dot
+    slim = df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns_named(read))])
+    schema = T.StructType([T.StructField(c, slim.schema[i].dataType, slim.schema[i].nullable) for i, c in enumerate(keep)] + list(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                new = work(*[batch.column(c) for c in inputs])
+                new = work(*[batch.column(read.index(c)) for c in inputs])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in keep]
+                    [batch.column(i) for i in range(len(keep))]
                     + [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], arrow_type(f.dataType))
                        for f in fields],
                     names=[*keep, *[f.name for f in fields]])

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import count_words, cut, row_key, whole
+from lakeops.llm.common import columns_named, count_words, cut, row_key, whole
 
 MIN_WORDS = 50
 
@@ -136,7 +136,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     runs = repeated_runs(docs, doc_id, text, min_words)
     spans = runs.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
     k1, k2 = row_key(doc_id, text)
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), k1, k2)
+    keyed = docs.select(F.struct(*columns_named(docs.columns)).alias("row"), F.col(text).alias("text"), k1, k2)
     # of equal rows the first alone is not a copy of another
     copy = Window.partitionBy("k1", "k2").orderBy(F.lit(1))
     met = keyed.join(spans, ["k1", "k2"], "left").withColumn("copy", F.row_number().over(copy))

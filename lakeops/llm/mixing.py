@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import count_words, whole, without
+from lakeops.llm.common import columns_named, count_words, whole, without
 
 RANGE_DIGITS = 4          # hex digits of the key that name its range
 OUT = ("size", "source_size", "target", "taken", "copies")
@@ -56,7 +56,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     number of times a mix of whole documents holds it: the document at the cut goes whole.
     """
     size = count_words(whole(text)) if size is None else size
-    plain = docs.select(*without(docs, OUT), size.alias("size"))
+    plain = docs.select(*columns_named(without(docs, OUT)), size.alias("size"))
     keyed = plain.withColumns({
         "__source": F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")),
         "__key": F.md5(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))),
@@ -76,12 +76,12 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
             .withColumn("taken", F.col("__epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("__rest"), F.col("size"))))
             .withColumn("copies", F.when(F.col("size") == 0, F.lit(0)).otherwise(
                 F.col("__epochs") + F.when(F.col("__rest") > 0, 1).otherwise(0)).cast("int"))
-            .select(*without(docs, OUT), *OUT))
+            .select(*columns_named(without(docs, OUT)), *OUT))
 
 
 def mixture(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every document as often as the mix holds it, with the columns of ``docs``."""
-    held = docs.select(F.struct(*docs.columns).alias("__row"), F.col(how.pop("doc_id", "doc_id")).alias("doc_id"),
+    held = docs.select(F.struct(*columns_named(docs.columns)).alias("__row"), F.col(how.pop("doc_id", "doc_id")).alias("doc_id"),
                        F.col(how.pop("source", "source")).alias("source"), count_words(whole(how.pop("text", "text"))).alias("__size"))
     mixed = mix(held, text=None, size=F.col("__size"), **how).where("copies > 0")
     return mixed.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")

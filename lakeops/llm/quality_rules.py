@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import cut, map_rows, texts_of, without
+from lakeops.llm.common import columns_named, cut, map_rows, texts_of, without
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_bangs")
@@ -155,7 +155,7 @@ def verdict(counted: DataFrame, cutoffs: dict[tuple, float], stratum: str = "lan
         by.setdefault(s, {})[rule] = c
     schema = "__s string, " + ", ".join(f"__{r} double" for r in RULES)
     table = spark.createDataFrame([(s, *[c.get(r) for r in RULES]) for s, c in by.items()], schema)
-    joined = counted.select(*without(counted, ["base_failed", "kept"])).join(
+    joined = counted.select(*columns_named(without(counted, ["base_failed", "kept"]))).join(
         F.broadcast(table), F.col(stratum).cast("string").eqNullSafe(F.col("__s")), "left")
     beyond = F.lit(False)
     for r in RULES:
@@ -175,5 +175,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: s
               risk: Risk = Risk()) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns; no shuffle of texts."""
     cutoffs = calibrate(cut(with_counts(docs, text, [doc_id, stratum])), labels, stratum, doc_id, risk=risk)
-    held = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"), F.col(stratum).alias("__lang"))
+    held = docs.select(F.struct(*columns_named(docs.columns)).alias("__row"), F.col(text).alias("__text"), F.col(stratum).alias("__lang"))
     return verdict(with_counts(held, "__text", ["__row", "__lang"]), cutoffs, "__lang").where("kept").select("__row.*")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import cut, map_rows, row_key, texts_of, whole, without
+from lakeops.llm.common import columns_named, cut, map_rows, row_key, texts_of, whole, without
 
 SHINGLE = 3
 BITS = 2                # most differing bits of a link
@@ -224,7 +224,7 @@ def grouped(marked: DataFrame, doc_id: str = "doc_id", budget: int = BITS, subtr
     names = linked.groupBy("root").agg(F.min("first").alias("lowest"))
     named = nodes.join(roots.join(names, "root"), F.col("bits") == F.col("node"), "left").select(
         "bits", F.coalesce("lowest", "first").alias("component_id"))
-    return marked.select(*without(marked, ["component_id"])).join(named, "bits")
+    return marked.select(*columns_named(without(marked, ["component_id"]))).join(named, "bits")
 
 
 def as_hex(bits: str = "bits") -> Column:
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BITS) -> DataFrame:
     """The rows of ``docs`` without near copies: of every group the row of the smallest id, ties broken by the text."""
     k1, k2 = row_key(doc_id, text)
-    keyed = docs.select(F.struct(*docs.columns).alias("__row"), k1, k2, F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
+    keyed = docs.select(F.struct(*columns_named(docs.columns)).alias("__row"), k1, k2, F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     marked = cut(with_fingerprint(keyed, ["k1", "k2", "__id"], "__text", shingle))
     lowest = F.min(F.struct(F.col("__id").isNull(), "__id", "k1", "k2"))
     heads = marked.groupBy("bits").agg(lowest.alias("head"))

@@ -70,11 +70,11 @@ def planted():
     return rows
 
 
-@pytest.mark.parametrize("block", [3, 512])
-def test_all_near_copies_go(spark, block):
+@pytest.mark.parametrize("how", [{"block": 3}, {}, {"hot": 4}, {"hot": 12, "most_keys": 0}])
+def test_all_near_copies_go(spark, how):
     rows = planted()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    left = near_copies.one_of_each(df, block=block).collect()
+    left = near_copies.one_of_each(df, **how).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in left) == brute_left(rows)
 
 
@@ -105,3 +105,17 @@ def test_order_of_shingles_does_not_matter():
         share = np.intersect1d(near_copies.prefix(a, common, np.arange(3, 43)), near_copies.prefix(b, common, np.arange(3, 43)))
         assert len(share) or 5 * len(b) < 4 * len(a)
     assert not len(near_copies.prefix(base[:0], base, base.view(np.int64)))
+
+
+def test_sizes_within_the_likeness_lie_in_neighbouring_bands():
+    n = np.r_[np.arange(1, 5_000), np.unique(np.geomspace(5_000, 1e9, 5_000).astype(np.int64))]
+    code = near_copies.size_code(n)
+    assert (np.diff(code) >= 0).all() and code.max() < 1 << 15
+    band = lambda m: np.floor(np.log(near_copies.least_size(near_copies.size_code(m)).astype(np.float64)) / np.log(1.26))
+    for m in (n, -(-n * 9 // 10), -(-n * 4 // 5)):
+        assert (band(n) - band(m) <= 1).all()
+
+
+def test_columns_with_dots(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y")], "doc_id long, text string, `a.b` string")
+    assert [tuple(r) for r in near_copies.one_of_each(df).collect()] == [(1, "a b c d e f", "x")]

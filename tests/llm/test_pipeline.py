@@ -1,13 +1,15 @@
 """The pipeline on whole tables against a brute-force version, and the queries against their SQL."""
 import hashlib
 import os
+import random
 import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from helpers_llm import WORDS
-from test_operators import brute_components, brute_counts, brute_fingerprint, brute_lines, brute_tokens, sha
+from test_near_copies import brute_left
+from test_operators import brute_counts, brute_lines, sha
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -52,11 +54,8 @@ def test_pipeline_equals_brute_force(spark):
             kept.append(d)
     texts = brute_lines(kept, 50, texts=True)
     left = [(d[0], texts[d[0]], d[2]) for d in kept if WORDS(texts[d[0]])]
-    prints = {d[0]: brute_fingerprint(d[1]) for d in left}
-    root, first = brute_components(prints.values()), {}
-    for i in sorted(prints):
-        first.setdefault(root[prints[i]], i)
-    left = [d for d in left if d[0] in set(first.values())]
+    staying = {i for _, i in brute_left(left)}
+    left = [d for d in left if d[0] in staying]
     copies, library = brute_mix(left), Tokenizer.from_file(Q.tokenizer("word_bpe_49k.json"))
     want = Counter()
     for i, text, _ in left:
@@ -102,6 +101,42 @@ def test_chat_escapes_and_reads_back(spark):
     assert chat.digests(chat.conversations(chat.numbered(df.limit(0)))).count() == 0
 
 
+def test_any_role_and_text_come_back(spark):
+    from lakeops.llm import chat
+
+    rng = random.Random(8)
+    pieces = ["\\", "<", "[", ">", ">>", "]", "l", "b", "g", "a", " ", "\n", "</s>", "<<ROLE ", "<</ROLE>>", "[INST] ", " [/INST]", "<s>", "<<SYS>>", "é"]
+    make = lambda: "".join(rng.choice(pieces) for _ in range(rng.randint(0, 6)))
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "", "a>", "a>>b", make()]), make()) for c in range(60) for t in range(rng.randint(1, 5))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    formatted = chat.conversations(chat.numbered(df)).cache()
+    want = defaultdict(list)
+    for c, _, role, text in rows:
+        want[c].append((role, text))
+    assert {r["conv"]: [(role, text) for role, text, _, _ in chat.read_back(r["formatted"])] for r in formatted.collect()} == want
+    for r in chat.digests(formatted).collect():
+        turns = want[r["conv_id"]]
+        assert (r["n_turns"], r["turns_sha256"]) == (len(turns), sha("".join(f"{role}\n{text}\n" for role, text in turns)))
+        assert r["loss_sha256"] == sha("".join(text for role, text in turns if role == "assistant"))
+
+
+def test_stages_take_columns_with_dots(spark, odd):
+    docs = odd.withColumnsRenamed({"kept": "a.b", "k1": "__key", "bits": "__source"}).limit(30)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALL)
+        assert {"a.b", "__key", "__source"} <= set(out.columns), name
+        assert {r[0] for r in out.select("`a.b`").collect()} == {"clash"}, name
+
+
+def test_ids_decide_the_decoded_text():
+    from lakeops.llm import bpe
+
+    encoder = bpe.Encoder(bpe.read_vocabulary(Q.tokenizer("word_bpe_49k.json")))
+    a, b = encoder.ids("a house<|endoftext|>"), encoder.ids("a mouse")
+    assert encoder.decode(a + b) == encoder.decode(a) + " " + encoder.decode(b)
+    assert encoder.decode(a[-4:]) == "<|endoftext|>" and encoder.decode(b"\xff\xff\xff\x7f" + b) == encoder.decode(b)
+
+
 def test_reply_trees(spark):
     from lakeops.llm import chat
 
