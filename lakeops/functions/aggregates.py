@@ -158,3 +158,38 @@ def worst_contributor(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.agg(F.sum(size).alias("total_abs"),
                   F.max(F.struct(size.alias("s"), F.col(key).alias("k"))).alias("w")).select(
         "total_abs", F.col("w.k").alias("worst"), F.col("w.s").alias("worst_abs"))
+
+
+# ------------------------------------------------------------------ mergeable distinct counts
+def bitmaps(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Per key and range of 32,768 values one bitmap of the whole numbers met: ``__range``, ``__bits``.
+
+    The keys hold the period as well, so a stored table of them answers any window without the rows.
+    """
+    met = df.where(F.col(value).isNotNull())
+    return met.groupBy(*keys, F.bitmap_bucket_number(value).alias("__range")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("__bits"))
+
+
+def bitmap_distinct(maps: DataFrame, keys: Sequence[str], windows: Mapping[str, Column]) -> DataFrame:
+    """Exact distinct counts per key, one for each condition on the bitmaps' other columns, in one merge of the bitmaps."""
+    nothing = F.lit(b"")
+    merged = maps.groupBy(*keys, "__range").agg(*[
+        F.bitmap_or_agg(F.when(cond, F.col("__bits")).otherwise(nothing)).alias(name) for name, cond in windows.items()])
+    return merged.groupBy(*keys).agg(*[F.sum(F.bitmap_count(name)).alias(name) for name in windows])
+
+
+def set_changes(df: DataFrame, period: str, before: Column, value: str, lg_entries: int = 16) -> DataFrame:
+    """Per period: values gained since, kept from and lost since the period ``before`` it, from one theta sketch a period.
+
+    Exact while a period has at most 2**lg_entries distinct values; beyond, the standard error is about 1 / sqrt(2**lg_entries)
+    of the union of the two periods. A period without a predecessor in the table gains all its values.
+    """
+    own = df.groupBy(period).agg(F.theta_sketch_agg(value, lg_entries).alias("own"))
+    # a row per period on either side
+    earlier = own.select(F.col(period).alias("__before"), F.col("own").alias("old"))
+    both = own.withColumn("__at", before).join(earlier, F.col("__at") == F.col("__before"), "left")
+    size = lambda sketch: F.coalesce(F.theta_sketch_estimate(sketch), F.lit(0).cast("bigint"))
+    return both.select(
+        period, F.coalesce(F.theta_sketch_estimate(F.theta_difference("own", "old")), F.theta_sketch_estimate("own")).alias("gained"),
+        size(F.theta_intersection("own", "old")).alias("kept"), size(F.theta_difference("old", "own")).alias("lost"))

@@ -148,8 +148,10 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     if how not in ("inner", "left", "full"):
         raise ValueError(f"salted join supports inner, left and full, not {how}")
     keys = list(keys)
-    # hot keys number at most rows / threshold, so the marker goes to the rows and not the rows to it
-    marked = F.broadcast(hot.select(*keys, F.lit(True).alias("__hot")).distinct())
+    # the marker goes to the rows and not the rows to it, while the hot keys are as few as they should be
+    marked = hot.select(*keys, F.lit(True).alias("__hot")).distinct()
+    if marked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        marked = F.broadcast(marked)
     spread = bucket_of(left.columns, buckets)
     # rows with a NULL key match nothing; they are spread, too, instead of meeting in one task
     unmatched_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

@@ -63,6 +63,31 @@ def a4_sketch(t):
     return near.select((F.abs(F.col("estimate") - F.col("exact")) <= 0.08 * F.col("exact")).alias("within_rsd"))
 
 
+@query("A4_theta_set_changes", """
+    WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS month, o_custkey FROM orders),
+    months AS (SELECT DISTINCT month FROM m)
+    SELECT month,
+      (SELECT count(*) FROM m WHERE m.month = s.month AND o_custkey NOT IN (SELECT o_custkey FROM m AS p WHERE p.month = s.month - INTERVAL 1 MONTH)) AS gained,
+      (SELECT count(*) FROM m WHERE m.month = s.month AND o_custkey IN (SELECT o_custkey FROM m AS p WHERE p.month = s.month - INTERVAL 1 MONTH)) AS kept,
+      (SELECT count(*) FROM m WHERE m.month = s.month - INTERVAL 1 MONTH AND o_custkey NOT IN (SELECT o_custkey FROM m AS p WHERE p.month = s.month)) AS lost
+    FROM months AS s""")
+def a4_theta(t):
+    months = t.orders.select(F.trunc("o_orderdate", "month").alias("month"), "o_custkey")
+    return A.set_changes(months, "month", F.add_months("month", -1), "o_custkey")
+
+
+@query("A11_bitmap_windows", """
+    WITH l AS (SELECT l_returnflag, l_partkey, date_trunc('month', l_shipdate)::DATE AS month FROM lineitem)
+    SELECT l_returnflag, CAST(count(DISTINCT l_partkey) FILTER (WHERE month >= DATE '1998-01-01') AS BIGINT) AS parts_1998,
+      CAST(count(DISTINCT l_partkey) FILTER (WHERE month BETWEEN DATE '1997-01-01' AND DATE '1997-03-01') AS BIGINT) AS parts_q1_1997,
+      CAST(count(DISTINCT l_partkey) AS BIGINT) AS parts_ever FROM l GROUP BY 1""")
+def a11_bitmaps(t):
+    monthly = A.bitmaps(t.lineitem.withColumn("month", F.trunc("l_shipdate", "month")), ["l_returnflag", "month"], "l_partkey")
+    since = F.col("month") >= F.lit("1998-01-01").cast("date")
+    quarter = F.col("month").between(F.lit("1997-01-01").cast("date"), F.lit("1997-03-01").cast("date"))
+    return A.bitmap_distinct(monthly, ["l_returnflag"], {"parts_1998": since, "parts_q1_1997": quarter, "parts_ever": F.lit(True)})
+
+
 @query("A5_collect", """
     SELECT l_suppkey, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS flags,
            CAST(count(DISTINCT l_linenumber) AS BIGINT) AS n_line_numbers,

@@ -432,6 +432,23 @@ def l9(t):
     return setops.same_rows(before, t.spark.read.parquet(out).select(*before.columns))
 
 
+@query("L9_content_hash", "SELECT count(*) AS rows_left, count(*) AS rows_right, TRUE AS same FROM events")
+def l9_hash(t):
+    path, out = by_day(t), folder(t)
+    layout.compact(t.spark, path, out, strategy="sort", columns=["user_id"], rewrite_all=True)
+    before = t.spark.read.parquet(path)
+    return setops.same_content(before, t.spark.read.parquet(out).select(*before.columns))
+
+
+@query("U5_row_changes_by_part", """
+    WITH e AS (SELECT *, event_type = (SELECT min(event_type) FROM events) AND value > 50 AS moved FROM events)
+    SELECT event_type, CAST(count(*) AS BIGINT) AS only_left, CAST(count(*) AS BIGINT) AS only_right FROM e WHERE moved GROUP BY 1""")
+def u5_parts(t):
+    first = t.events.agg(F.min("event_type")).scalar()
+    edited = F.when((F.col("event_type") == first) & (F.col("value") > 50), -F.col("value")).otherwise(F.col("value"))
+    return setops.row_changes(t.events, t.events.withColumn("value", edited), ["event_type"])
+
+
 @query("L10_unreferenced_files", f"SELECT DISTINCT strftime({DT}, '%Y-%m-%d') AS dt FROM events WHERE ts >= TIMESTAMP '2024-01-15'")
 def l10(t):
     path = by_day(t)
