@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # rows may hold whole texts: what a Python worker holds at once stays small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
