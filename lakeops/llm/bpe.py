@@ -32,7 +32,7 @@ from lakeops.llm.common import Shipped, map_rows, texts_of, without
 
 SHORT = 64                 # parts up to which a word is scanned; beyond, a heap
 NONE = 1 << 60             # rank of a pair that does not merge
-CACHE_WORDS = 500_000      # words kept per worker
+CACHE_WORDS = 200_000      # words kept per worker
 CACHED_CHARS = 100         # longest word that is kept
 #: the pattern of the words on ASCII text, and texts of Latin, Greek and Cyrillic letters and their signs, on which Unicode versions agree
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII).findall
@@ -42,6 +42,7 @@ ENCODED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("
                         T.StructField("decoded_sha256", T.StringType())])
 OUTPUT = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
                        T.StructField("decoded", T.StringType())])
+SEALED = T.StructType([OUTPUT["n_tokens"], OUTPUT["ids"], ENCODED["ids_sha256"], ENCODED["decoded_sha256"]])
 
 
 def byte_letters() -> list[str]:
@@ -180,16 +181,17 @@ class Encoder:
 
 def _coded(docs: DataFrame, path: str, text: str, keep: Sequence[str] | None, fields: T.StructType) -> DataFrame:
     spec = Shipped(docs.sparkSession, read_vocabulary(path))
-    digests = fields is ENCODED
+    make = {"n_tokens": lambda ids, decoded: len(ids) // 4, "ids": lambda ids, decoded: ids, "decoded": lambda ids, decoded: decoded,
+            "ids_sha256": lambda ids, decoded: hashlib.sha256(ids).hexdigest(),
+            "decoded_sha256": lambda ids, decoded: hashlib.sha256(decoded.encode("utf-8")).hexdigest()}
+    wanted = [make[f.name] for f in fields]
 
     def work(column: pa.Array) -> dict[str, list]:
         encoder = spec.state("encoder", lambda: Encoder(spec.value))
         rows = []
         for t in texts_of(column):
             ids, decoded = encoder.encode(t)
-            n = len(ids) // 4
-            rows.append((n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()) if digests
-                        else (n, ids, decoded))
+            rows.append([f(ids, decoded) for f in wanted])
         return dict(zip([f.name for f in fields], map(list, zip(*rows))))
 
     return map_rows(docs, without(docs, fields.names) if keep is None else keep, fields, [text], work)
@@ -203,3 +205,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] |
 def digest(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """As ``encode``, but with SHA-256 of the ids and of the decoded text."""
     return _coded(docs, path, text, keep, ENCODED)
+
+
+def sealed(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """As ``encode``, with the ids and both digests; the decoded text does not leave its worker."""
+    return _coded(docs, path, text, keep, SEALED)

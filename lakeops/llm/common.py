@@ -1,6 +1,7 @@
 """Small helpers shared by the operators: words, row keys, checkpoints, Arrow batches."""
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -52,6 +53,14 @@ def columns_named(names: Iterable[str]) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system: it outlives its task, and later stages need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # not every C library has it
+    if trim:
+        trim(0)
+
+
 def map_rows(df: DataFrame, keep: Sequence[str], fields: T.StructType, inputs: Sequence[str],
              work: Callable[..., dict[str, Sequence]]) -> DataFrame:
     """Append columns computed per Arrow batch.
@@ -75,6 +84,7 @@ def map_rows(df: DataFrame, keep: Sequence[str], fields: T.StructType, inputs: S
                     + [new[f.name] if isinstance(new[f.name], pa.Array) else pa.array(new[f.name], arrow_type(f.dataType))
                        for f in fields],
                     names=[*keep, *[f.name for f in fields]])
+        give_back()
 
     return slim.mapInArrow(run, schema)
 
