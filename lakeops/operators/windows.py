@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators import scans as S
+from lakeops.session import ensure_checkpoint_dir
+
+DIGIT = 4       # bits of a value's rank that one level of the prefix medians settles
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int,
@@ -118,11 +121,70 @@ def rolling_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str, lookbac
     return summed.select(*df.columns, F.col("__sum").alias(name))
 
 
-def trailing_median(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                    name: str) -> DataFrame:
-    """Median of the earlier rows of the key, the current one excluded."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.percentile_approx(value, 0.5).over(w))
+def trailing_median(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
+                    hot: S.HotKeys | None = None, pos: Column | None = None,
+                    max_rows: int = S.MAX_GROUP_ROWS) -> DataFrame:
+    """Lower median of the earlier rows of the key, the current one excluded; NULL values do not count.
+
+    ``order`` must be total. A key that ``hot`` cuts goes through ``prefix_medians``, the others through the plain window.
+    """
+    plain = lambda rows: rows.withColumn(name, F.percentile_approx(value, 0.5).over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)))
+    if not hot:
+        return plain(df)
+    if hot.table is None:
+        return prefix_medians(df, keys, order, value, name, hot, pos, max_rows)
+    part = lambda how: S.keyed_join(df, hot.table.select(*keys), keys, how, small=True)
+    return plain(part("left_anti")).unionByName(prefix_medians(part("left_semi"), keys, order, value, name, hot, pos, max_rows))
+
+
+def prefix_medians(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, hot: S.HotKeys,
+                   pos: Column, max_rows: int = S.MAX_GROUP_ROWS) -> DataFrame:
+    """Exact lower median of the earlier values, for keys that no single task can hold.
+
+    Values are replaced by their ranks, and the ranks are settled digit by digit from the highest: every row asks how many
+    earlier values of its key begin with the digits settled so far and go on with each next digit. These counts are running sums
+    per prefix along the order, so each level is one segmented scan, and there are log16(distinct values) levels.
+    """
+    keys, base = list(keys), 1 << DIGIT
+    ensure_checkpoint_dir(df.sparkSession)
+    counted = df.withColumn("__has", F.col(value).isNotNull().cast("bigint"))
+    # the numbers name the rows below and must not change
+    rows = S.scan(counted, keys, order, [S.row_number("__i"), S.running_sum("__has", "__n")], hot, pos).checkpoint()
+    present = rows.where("__has = 1").select(*keys, "__i", F.col(value).alias("__v"))
+    by_value = F.col("__v").cast("double")
+    ranked = S.scan(present, keys, ["__v"], [S.dense_rank("__code")], S.find_hot(present, keys, by_value, max_rows), by_value)
+    points = ranked.select(*keys, "__i", "__v", (F.col("__code") - 1).alias("__code")).checkpoint()
+    levels = -(-int(points.agg(F.max("__code")).first()[0] or 0).bit_length() // DIGIT) or 1
+    earlier = F.col("__n") - F.col("__has")
+    asks = rows.where(earlier > 0).select(
+        *keys, "__i", F.lit(0).cast("bigint").alias("__node"), F.floor((earlier + 1) / 2).cast("bigint").alias("__k"))
+    ones, sums, lasts = ([f"__{c}{d}" for d in range(base)] for c in "dsw")
+    for level in reversed(range(levels)):
+        digit = F.shiftright("__code", level * DIGIT).bitwiseAND(F.lit(base - 1))
+        here = points.select(*keys, "__i", F.shiftright("__code", (level + 1) * DIGIT).alias("__node"), F.lit(1).alias("__side"),
+                             *[(digit == d).cast("bigint").alias(c) for d, c in enumerate(ones)],
+                             *[F.when(digit == d, F.col("__v")).alias("__v" + c) for d, c in enumerate(ones) if level == 0])
+        both = here.unionByName(asks.withColumn("__side", F.lit(0)), allowMissingColumns=True)
+        along = [*keys, "__node"]
+        # a row asks before it counts
+        seen = S.scan(both, along, ["__i", "__side"],
+                      [*[S.running_sum(c, s) for c, s in zip(ones, sums)],
+                       *[S.carried("__v" + c, w) for c, w in zip(ones, lasts) if level == 0]],
+                      S.find_hot(both, along, F.col("__i"), max_rows), F.col("__i")).where("__side = 0")
+        upto, total = [], F.lit(0).cast("bigint")
+        for s in sums:
+            total = total + F.coalesce(F.col(s), F.lit(0))
+            upto.append(total)
+        passed = F.array(*upto)
+        found = seen.withColumn("__below", F.filter(passed, lambda c: c < F.col("__k")))
+        step = F.size("__below").cast("bigint")
+        if level:
+            asks = found.select(*keys, "__i", (F.col("__node") * base + step).alias("__node"),
+                                (F.col("__k") - F.coalesce(F.array_max("__below"), F.lit(0))).alias("__k")).checkpoint()
+        else:
+            asks = found.select(*keys, "__i", F.element_at(F.array(*lasts), (step + 1).cast("int")).alias(name))
+    return S.keyed_join(rows, asks, [*keys, "__i"]).select(*[c for c in df.columns if c != name], name)
 
 
 def smooth_spikes(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, jump: float,

@@ -155,12 +155,26 @@ def w9_cut(t):
     return rolling(t, 60)
 
 
-@query("W10_trailing_median", """
+MEDIAN_PRIOR = """
     SELECT o_orderkey, quantile_disc(o_totalprice, 0.5) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS median_prior FROM orders""")
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS median_prior FROM orders"""
+
+
+def median_prior(t, max_rows):
+    pos = S.position(t.orders, "o_orderdate")
+    hot = S.find_hot(t.orders, ["o_custkey"], pos, max_rows)
+    return W.trailing_median(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "median_prior",
+                             hot, pos, max_rows).select("o_orderkey", "median_prior")
+
+
+@query("W10_trailing_median", MEDIAN_PRIOR)
 def w10(t):
-    return W.trailing_median(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "median_prior") \
-        .select("o_orderkey", "median_prior")
+    return median_prior(t, S.MAX_GROUP_ROWS)
+
+
+@query("W10_trailing_median_cut_keys", MEDIAN_PRIOR)
+def w10_cut(t):
+    return median_prior(t, 12)
 
 
 @query("W11_latest_over_median", f"""
