@@ -152,3 +152,18 @@ def test_reply_trees(spark):
     cycle = spark.createDataFrame([("c", 1, 2, 0.0, "user", ""), ("c", 2, 1, 0.0, "user", "")], df.schema)
     with pytest.raises(ValueError):
         chat.paths(cycle)
+
+
+def test_sealed_equals_encoded(spark):
+    from pyspark.sql import functions as F
+
+    from lakeops.llm import bpe
+
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "An  ÄPFEL 12 <|endoftext|>", "x"), (3, "w" * 9_000, None)],
+                                 "doc_id bigint, text string, decoded string")
+    path = Q.tokenizer("word_bpe_49k.json")
+    plain, sealed = bpe.encode(docs, path, keep=["doc_id"]), bpe.sealed(docs, path, keep=["doc_id"])
+    want = plain.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256), F.sha2(F.col("decoded").cast("binary"), 256))
+    assert sealed.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, sealed.collect())) == sorted(map(tuple, want.collect()))
+    assert bpe.sealed(docs.limit(0), path).count() == 0
