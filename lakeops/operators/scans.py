@@ -126,8 +126,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def nulls_last(order: Sequence[Column | str]) -> bool:
-    """Whether the leading column of an order puts NULL behind all values, as a descending one does."""
-    return bool(order) and "NULLS LAST" in str(order[0])
+    """Whether the leading column of an order is an order of its own that puts NULL behind all values."""
+    return bool(order) and isinstance(order[0], Column) and str(order[0]).endswith((" DESC NULLS LAST'>", " ASC NULLS LAST'>"))
 
 
 def with_segment(df: DataFrame, hot: HotKeys, pos: Column, name: str = SEG, nulls_behind: bool = False) -> DataFrame:
@@ -247,12 +247,14 @@ def _combined(spec: Spec) -> Column:
 
 
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-         specs: Sequence[Spec], hot: HotKeys, pos: Column) -> DataFrame:
+         specs: Sequence[Spec], hot: HotKeys, pos: Column, nulls_behind: bool | None = None) -> DataFrame:
     """Add every ``specs`` column, computed per ``keys`` along ``order``.
 
     ``order`` must be total within a key wherever the answer depends on ties, and
     ``pos`` is the number its leading column ascends with (negate it for a
-    descending order). Rank-like outputs need ties to share ``pos``.
+    descending order). Rank-like outputs need ties to share ``pos``. ``nulls_behind``
+    says whether the leading column puts NULL behind all values, as a descending one does;
+    left out, it is read from the order.
     """
     keys = list(keys)
     if not hot:
@@ -263,7 +265,7 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outputs = {s.name: _local(s, w, running) for s in specs}
     outputs["__rn"] = F.row_number().over(w)
-    behind = nulls_last(order)
+    behind = nulls_last(order) if nulls_behind is None else nulls_behind
     scanned = lambda rows: with_segment(rows, hot, pos, nulls_behind=behind).withColumns(outputs)
     local = scanned(df)
     # Only cut keys hand anything on: at most two rows per 1 / MAX_HOT_KEYS of the data.

@@ -242,11 +242,11 @@ def close_intervals(changes: DataFrame, keys: Sequence[str], ts: str, value: str
 
 
 def bands(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pos: Column, n: int,
-          hot: S.HotKeys, name: str) -> DataFrame:
-    """``ntile(n)`` per key along ``order``, also for keys too large for one task."""
+          hot: S.HotKeys, name: str, nulls_behind: bool | None = None) -> DataFrame:
+    """``ntile(n)`` per key along ``order``, also for keys too large for one task; ``nulls_behind`` as in ``scan``."""
     if not hot:
         return df.withColumn(name, F.ntile(n).over(Window.partitionBy(*keys).orderBy(*order)))
-    numbered = S.scan(df, keys, order, [S.row_number("__i")], hot, pos)
+    numbered = S.scan(df, keys, order, [S.row_number("__i")], hot, pos, nulls_behind)
     sized = S.keyed_join(numbered, df.groupBy(*keys).agg(F.count("*").alias("__n")), keys)
     q, r = F.floor(F.col("__n") / n), F.col("__n") % n
     split = r * (q + 1)

@@ -35,10 +35,10 @@ def w1(t):
 def w2(t):
     p, pos = t.part, -F.col("p_size")
     hot = S.find_hot(p, ["p_brand"], pos)
-    ranked = S.scan(p, ["p_brand"], [F.col("p_size").desc()], [S.rank("rk"), S.dense_rank("dr")], hot, pos)
+    ranked = S.scan(p, ["p_brand"], [F.col("p_size").desc()], [S.rank("rk"), S.dense_rank("dr")], hot, pos, nulls_behind=True)
     sized = S.keyed_join(ranked, p.groupBy("p_brand").agg(F.count("*").alias("n")), ["p_brand"])
     sized = sized.withColumn("pr", F.when(F.col("n") > 1, (F.col("rk") - 1) / (F.col("n") - 1)).otherwise(0.0))
-    return W.bands(sized, ["p_brand"], [F.col("p_size").desc(), F.col("p_partkey")], pos, 4, hot, "quarter").select(
+    return W.bands(sized, ["p_brand"], [F.col("p_size").desc(), F.col("p_partkey")], pos, 4, hot, "quarter", nulls_behind=True).select(
         "p_partkey", "rk", "dr", "pr", "quarter")
 
 
@@ -356,7 +356,7 @@ def risk(t, max_rows):
     from lakeops.jobs.churn import risk_band
     c, pos = t.customer, -F.col("c_acctbal")
     hot = S.find_hot(c, ["c_mktsegment"], pos, max_rows)
-    b = W.bands(c, ["c_mktsegment"], [F.col("c_acctbal").desc(), F.col("c_custkey")], pos, 10, hot, "tile")
+    b = W.bands(c, ["c_mktsegment"], [F.col("c_acctbal").desc(), F.col("c_custkey")], pos, 10, hot, "tile", nulls_behind=True)
     return b.select("c_custkey", "tile", risk_band("tile").alias("band"))
 
 

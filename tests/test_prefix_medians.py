@@ -50,3 +50,16 @@ def test_one_key_for_the_whole_table(spark):
     hot = S.find_hot(df, [], F.col("t"), 100)
     out = W.trailing_median(df, [], ["t"], "v", "m", hot, F.col("t"), 100)
     assert {(r["k"], r["t"]): r["m"] for r in out.collect()} == brute(rows)
+
+
+def test_a_name_with_the_words_of_an_order(spark):
+    name = "p DESC NULLS LAST"
+    df = spark.createDataFrame([(1, i, None if i % 4 == 0 else i) for i in range(60)], ["k", "id", name])
+    hot = S.find_hot(df, ["k"], F.col(f"`{name}`"), 10)
+    assert hot
+    order = [F.col(f"`{name}`"), F.col("id")]
+    said = S.scan(df, ["k"], order, [S.row_number("n")], hot, F.col(f"`{name}`"), nulls_behind=False)
+    in_order = S.scan(df, ["k"], [F.col(f"`{name}`").asc(), F.col("id")], [S.row_number("n")], hot, F.col(f"`{name}`"))
+    want = {i: n for n, i in enumerate(sorted(range(60), key=lambda i: (i % 4 != 0, i)), 1)}
+    for out in (said, in_order):
+        assert {r["id"]: r["n"] for r in out.collect()} == want
