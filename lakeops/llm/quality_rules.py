@@ -1,18 +1,25 @@
 """Quality rules whose cutoffs come with a bound on the clean documents they reject.
 
-Every rule compares one statistic of a text with a cutoff. Per stratum (a language by default) and
-rule, cutoffs are tested from the loosest to the tightest on the labelled documents of good quality:
-with n of them, x beyond the cutoff, the cutoff is safe if a false rejection rate of ``alpha`` / rules
-would give x or fewer with a probability of at most ``delta`` / (rules * strata). That is the exact
-(Clopper-Pearson) binomial bound. Testing stops at the first cutoff that is not safe, which needs no
-further correction along the cutoffs (fixed sequence); rules and strata are corrected by Bonferroni.
-So with probability 1 - ``delta`` every stratum loses at most ``alpha`` of its clean documents to the
-rules together. Among the safe cutoffs the one that rejects most bad documents is taken, the loosest
-of equals. A stratum with too few labels gets no cutoff and keeps its documents.
+Every rule compares one statistic of a text with a cutoff. The labelled documents that pass the base
+rule are split by a hash of their id. A quarter only chooses rules: those that catch a share ``gain``
+of its bad documents at a cutoff that rejects hardly any of its good ones. The good documents of the
+other three quarters only test them. Per stratum (a language by default) and chosen rule, cutoffs are tested from the
+loosest to the tightest on its documents of good quality: with n of them, x beyond the cutoff, the
+cutoff is safe if a false rejection rate of ``alpha`` / rules would give x or fewer with a probability
+of at most ``delta`` / (rules * strata). That is the exact (Clopper-Pearson) binomial bound. Testing
+stops at the first cutoff that is not safe, which needs no further correction along the cutoffs (fixed
+sequence); rules and strata are corrected by Bonferroni. So with probability 1 - ``delta`` every
+stratum loses at most ``alpha`` of its clean documents to the rules together. Among the safe cutoffs
+the one is taken whose rejected bad documents exceed the good ones most, the loosest of equals; a rule
+none of whose cutoffs rejects more bad than good documents gets none.
+
+Strata with too few good labels for any cutoff of their own are tested together as one stratum, the
+rest, to which strata without a label belong as well. Its bound holds for the rest as a whole and not
+for each stratum in it. Where even the rest has too few labels, its documents stay.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null stratum is a stratum
 of its own; labels with a null id or quality are not used; of repeated labels for one id the lowest
-quality counts; without labels only the base rule rejects.
+quality counts; without labels, good and bad ones, only the base rule rejects.
 """
 from __future__ import annotations
 
@@ -43,13 +50,20 @@ RULES: dict[str, tuple[str, str]] = {
 #: cutoffs from loose to tight
 CUTOFFS = (0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05, 0.03, 0.02, 0.01)
 
+#: one in so many labelled documents chooses rules, the others test them
+CHOOSING = 4
+#: stands for the strata that have no cutoffs of their own
+REST = ("rest",)
+
 
 @dataclass(frozen=True)
 class Risk:
-    """``alpha``: share of a stratum's clean documents that may be rejected; ``delta``: probability that it is more."""
+    """``alpha``: share of a stratum's clean documents that may be rejected; ``delta``: probability that it is more;
+    ``gain``: share of the bad documents that a rule must catch to be tested."""
 
     alpha: float = 0.05
     delta: float = 0.05
+    gain: float = 0.05
     cutoffs: Sequence[float] = CUTOFFS
 
 
@@ -106,62 +120,82 @@ def at_most(x: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(log(k) - top) for k in range(x + 1)))
 
 
-def select_cutoffs(good: dict[tuple, list[int]], bad: dict[tuple, list[int]], strata: int, risk: Risk) -> dict[tuple, float]:
-    """Cutoff per (stratum, rule): ``good`` and ``bad`` hold n and the numbers beyond each cutoff."""
-    alpha, delta = risk.alpha / len(RULES), risk.delta / (len(RULES) * max(1, strata))
-    chosen = {}
-    for key, (n, *beyond) in good.items():
-        best = -1
-        for j, x in enumerate(beyond):
-            # past the expected number the exact test cannot pass, whatever n is
-            if x > n * alpha or at_most(x, n, alpha) > delta:
-                break
-            caught = bad.get(key, [0] * (len(beyond) + 1))[j + 1]
-            if caught > best:
-                best, chosen[key] = caught, risk.cutoffs[j]
+def choose_rules(good: dict[str, list[int]], bad: dict[str, list[int]], risk: Risk) -> list[str]:
+    """Rules worth a test: ``good`` and ``bad`` hold per rule n and the numbers beyond each cutoff."""
+    few = risk.alpha / len(RULES)
+    return [r for r in RULES if r in good and r in bad
+            and any(x <= few * good[r][0] and caught >= max(1, risk.gain * bad[r][0]) for x, caught in zip(good[r][1:], bad[r][1:]))]
+
+
+def levels(rules: int, strata: int, risk: Risk) -> tuple[float, float]:
+    """Rate and error probability of one test."""
+    return risk.alpha / rules, risk.delta / (rules * max(1, strata))
+
+
+def select_cutoff(good: list[int], bad: list[int], level: tuple[float, float], cutoffs: Sequence[float]) -> float | None:
+    """The safe cutoff with most bad documents rejected, less the good ones, None without one; both lists hold n and the numbers beyond each cutoff."""
+    rate, error = level
+    best, chosen = 0, None
+    for cutoff, x, caught in zip(cutoffs, good[1:], bad[1:]):
+        # past the expected number the exact test cannot pass, whatever n is
+        if x > good[0] * rate or at_most(x, good[0], rate) > error:
+            break
+        if caught - x > best:
+            best, chosen = caught - x, cutoff
     return chosen
 
 
 def calibrate(counted: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", quality: str = "quality",
-              risk: Risk = Risk()) -> dict[tuple, float]:
-    """Cutoff per (stratum, rule) from the labelled documents that pass the base rule.
+              risk: Risk = Risk()) -> dict:
+    """Cutoffs by rule per stratum, and of the rest under ``REST``, from the labelled documents that pass the base rule.
 
-    What reaches the driver is one row per stratum with enough labels for a cutoff, so at most
-    labels / that number.
+    What reaches the driver is the sums of the choosing part and two rows per stratum with enough labels
+    for a cutoff, so at most twice labels / that number.
     """
     marks = (labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull())
              .groupBy(F.col(doc_id).alias("__id")).agg(F.min(quality).alias("__quality")))
     joined = (counted.where(~base_failed()).select(F.col(doc_id).alias("__id"), F.col(stratum).cast("string").alias("__stratum"), *COUNTS)
               .join(marks, "__id"))
+    numbers = ["n", *[f"{r}_{j}" for r in RULES for j in range(len(risk.cutoffs))]]
     sums = [F.count("*").alias("n")]
     sums += [F.count_if(statistic(r) > c).alias(f"{r}_{j}") for r in RULES for j, c in enumerate(risk.cutoffs)]
-    table = joined.groupBy("__stratum", (F.col("__quality") >= 1).alias("__good")).agg(*sums)
-    strata = joined.select("__stratum").distinct().count()
-    alpha, delta = risk.alpha / len(RULES), risk.delta / (len(RULES) * max(1, strata))
-    enough = math.ceil(math.log(delta) / math.log1p(-alpha))
-    able = table.where(F.col("__good") & (F.col("n") >= enough)).select(F.col("__stratum").alias("__s"))
+    tests = F.crc32(F.col("__id").cast("string").cast("binary")) % CHOOSING != 0
+    table = cut(joined.groupBy("__stratum", (F.col("__quality") >= 1).alias("__good"), tests.alias("__tests")).agg(*sums))
+    total = lambda df, *by: df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in numbers])
+    beyond = lambda row, r: [row["n"], *[row[f"{r}_{j}"] for j in range(len(risk.cutoffs))]]
+
+    part = {row["__good"]: {r: beyond(row, r) for r in RULES} for row in total(table.where(~F.col("__tests")), "__good").collect()}
+    rules = choose_rules(part.get(True, {}), part.get(False, {}), risk)
+    if not rules:
+        return {}
+    level = levels(len(rules), table.select("__stratum").distinct().count(), risk)
+    enough = math.ceil(math.log(level[1]) / math.log1p(-level[0]))
+    own = (table.where(F.col("__good") & F.col("__tests") & (F.col("n") >= enough))
+           .select(F.col("__stratum").alias("__s"), F.lit(True).alias("__own")))
+    told = table.where(F.col("__tests") | ~F.col("__good")).join(own, F.col("__stratum").eqNullSafe(F.col("__s")), "left")
     good, bad = {}, {}
-    for row in table.join(able, F.col("__stratum").eqNullSafe(F.col("__s")), "left_semi").collect():
-        for r in RULES:
-            (good if row["__good"] else bad)[row["__stratum"], r] = [row["n"], *[row[f"{r}_{j}"] for j in range(len(risk.cutoffs))]]
-    return select_cutoffs(good, bad, strata, risk)
+    for row in total(told, "__own", "__s", "__good").collect():
+        (good if row["__good"] else bad)[row["__s"] if row["__own"] else REST] = row
+    none = [0] * (len(risk.cutoffs) + 1)
+    found = {s: {r: select_cutoff(beyond(row, r), beyond(bad[s], r) if s in bad else none, level, risk.cutoffs) for r in rules}
+             for s, row in good.items()}
+    return {s: {r: c for r, c in by.items() if c is not None} for s, by in found.items()}
 
 
-def verdict(counted: DataFrame, cutoffs: dict[tuple, float], stratum: str = "lang") -> DataFrame:
-    """Add ``base_failed`` and ``kept``; the cutoffs are joined by stratum and number at most labels / enough of them."""
+def verdict(counted: DataFrame, cutoffs: dict, stratum: str = "lang") -> DataFrame:
+    """Add ``base_failed`` and ``kept``; the strata with cutoffs of their own are joined and number at most labels / enough of them."""
     spark = counted.sparkSession
-    by: dict = {}
-    for (s, rule), c in cutoffs.items():
-        by.setdefault(s, {})[rule] = c
-    schema = "__s string, " + ", ".join(f"__{r} double" for r in RULES)
-    table = spark.createDataFrame([(s, *[c.get(r) for r in RULES]) for s, c in by.items()], schema)
+    schema = "__s string, __own boolean, " + ", ".join(f"__{r} double" for r in RULES)
+    table = spark.createDataFrame([(s, True, *[by.get(r) for r in RULES]) for s, by in cutoffs.items() if s is not REST], schema)
     joined = counted.select(*columns_named(without(counted, ["base_failed", "kept"]))).join(
         F.broadcast(table), F.col(stratum).cast("string").eqNullSafe(F.col("__s")), "left")
     beyond = F.lit(False)
     for r in RULES:
-        beyond = beyond | F.coalesce(statistic(r) > F.col(f"__{r}"), F.lit(False))
+        rest = F.lit(cutoffs.get(REST, {}).get(r)).cast("double")
+        limit = F.when(F.col("__own"), F.col(f"__{r}")).otherwise(rest)
+        beyond = beyond | F.coalesce(statistic(r) > limit, F.lit(False))
     return (joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~beyond)
-            .drop("__s", *[f"__{r}" for r in RULES]))
+            .drop("__s", "__own", *[f"__{r}" for r in RULES]))
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", doc_id: str = "doc_id",

@@ -1,6 +1,7 @@
 """Operators against brute force, on rows with nulls, empty and long texts, ties, repeats and clashing columns."""
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -308,6 +309,74 @@ def test_cutoffs_bound_false_rejection(spark):
     assert all(out[i]["kept"] for i in out if i % 10 == 0)                 # too few labels: no cutoff
 
 
+def plain_verdicts(rows, marks, alpha=0.05, delta=0.05, share=0.05):
+    """The verdict of every document by plain loops: rows of (id, counts, stratum), labels by id."""
+    from math import comb
+
+    C = quality_rules.COUNTS
+    counts = {i: dict(zip(C, c)) for i, c, _ in rows}
+    failed = {i: c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"] for i, c in counts.items()}
+    value = lambda i, r: counts[i][quality_rules.RULES[r][0]] / max(counts[i][quality_rules.RULES[r][1]], 1)
+    known = [(i, s, marks[i] >= 1, zlib.crc32(str(i).encode()) % 4 != 0) for i, _, s in rows if i in marks and not failed[i]]
+    chosen = []
+    for r in quality_rules.RULES:
+        good = [value(i, r) for i, _, g, t in known if g and not t]
+        bad = [value(i, r) for i, _, g, t in known if not g and not t]
+        if any(sum(v > c for v in good) <= alpha / 5 * len(good) and sum(v > c for v in bad) >= max(1, share * len(bad)) for c in quality_rules.CUTOFFS):
+            chosen.append(r)
+    strata = len({s for _, s, _, _ in known})
+    safe = lambda x, n: n and sum(comb(n, k) * (alpha / len(chosen)) ** k * (1 - alpha / len(chosen)) ** (n - k) for k in range(x + 1)) <= delta / len(chosen) / strata
+    large = {s for _, s, _, _ in known if safe(0, sum(g and t and s == z for _, z, g, t in known))} if chosen else set()
+    limits = {}
+    for part in [*large, "the rest"]:
+        there = [k for k in known if (k[1] == part if part in large else k[1] not in large)]
+        for r in chosen:
+            best = 0
+            for c in quality_rules.CUTOFFS:
+                good = [value(i, r) > c for i, _, g, t in there if g and t]
+                if not safe(sum(good), len(good)):
+                    break
+                gain = sum(value(i, r) > c for i, _, g, _ in there if not g) - sum(good)
+                if gain > best:
+                    best, limits[part, r] = gain, c
+    mine = {i: s if s in large else "the rest" for i, _, s in rows}
+    return {i: not failed[i] and not any((mine[i], r) in limits and value(i, r) > limits[mine[i], r] for r in chosen) for i in counts}, limits
+
+
+def test_verdict_equals_plain_loops(spark):
+    """Row for row on made-up strata: two with cutoffs of their own, small ones and NULL judged as the rest, one without a label."""
+    rng = random.Random(11)
+    docs, labels = [], []
+    for i in range(4000):
+        lang = rng.choice(["en"] * 5 + ["de"] * 3 + ["fr", "es", None, "it", "zz"])
+        bad = rng.random() < 0.2
+        words = ["w%d" % rng.randrange(10 ** 6) + ("###" if bad and rng.random() < 0.4 else "") + ("!" if rng.random() < 0.02 else "") for _ in range(rng.choice((40, 60)))]
+        if bad and rng.random() < 0.5:
+            words = words[:30] + ["again and again"] * 7 + words[30:]
+        docs.append((i, " ".join(words), lang))
+        if lang != "zz":
+            labels.append((i, 0 if bad else 1, 0))
+    marks = {i: q for i, q, _ in labels}
+    want, limits = plain_verdicts([(i, quality_rules.text_counts(x), s) for i, x, s in docs], marks)
+    assert {s for s, _ in limits} == {"en", "de", "the rest"} and {r for _, r in limits} >= {"symbols", "repeats"}
+    out = quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+                              spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert {r["doc_id"]: r["kept"] for r in out} == want
+    junk = [i for i, _, s in docs if marks.get(i) == 0 and s in ("fr", "es", "it", None)]
+    assert sum(not want[i] for i in junk) > 0.9 * len(junk)                # small strata lose their junk too
+
+
+def test_op8_verdict_on_the_tables(spark):
+    import pyarrow.parquet as pq
+    from lakeops.llm.queries import QUERIES
+
+    table = "/root/testdata/sf0.01/%s.parquet"
+    docs = pq.read_table(table % "documents", columns=["doc_id", "text", "lang"]).to_pylist()
+    marks = {r["doc_id"]: r["quality"] for r in pq.read_table(table % "labels").to_pylist() if r["quality"] is not None}
+    want, _ = plain_verdicts([(d["doc_id"], quality_rules.text_counts(d["text"] or ""), d["lang"]) for d in docs], marks)
+    assert {r["doc_id"]: r["kept"] for r in QUERIES["op8_quality_rules"](spark, "/root/testdata/sf0.01").collect()} == want
+
+
 # ------------------------------------------------------------------ 9
 def brute_tokens(word, scores):
     unknown = min(scores.values()) - 10_000_000
