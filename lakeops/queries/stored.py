@@ -411,17 +411,21 @@ for _name, _strategy, _columns in (("L4_compact_binpack", "binpack", []), ("L5_c
 
 
 @query("L8_files_after_batches", """
-    SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS files, CAST(sum(count(*)) OVER (ORDER BY event_type) AS BIGINT) AS records
-    FROM events GROUP BY event_type""")
+    SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS batches, CAST(sum(count(*)) OVER (ORDER BY event_type) AS BIGINT) AS records,
+      TRUE AS files_apart, TRUE AS files_grow FROM events GROUP BY event_type""")
 def l8(t):
-    path, seen = folder(t), []
+    """Stored files after each micro-batch; a batch writes as many files as it has tasks, and its number is stored with its rows."""
+    path, seen, last = folder(t), [], 0
     kinds = sorted(r[0] for r in t.events.select("event_type").distinct().collect())    # one batch per kind of event
-    for kind in kinds:
-        writers.append(t.events.where(F.col("event_type") == kind).repartition(1), path)
+    for k, kind in enumerate(kinds):
+        writers.append(t.events.where(F.col("event_type") == kind).withColumn("batch", F.lit(k)), path)
         # one row a batch, taken now: Spark holds two scans of one folder for the same, whatever files lie in it
-        stats = layout.file_stats(t.spark.read.parquet(path)).agg(F.count("*").alias("files"), F.sum("records").alias("records"))
-        seen.append((kind, *stats.first()))
-    return t.spark.createDataFrame(seen, "event_type string, files bigint, records bigint")
+        stats = layout.file_stats(t.spark.read.parquet(path), ["batch"]).agg(
+            F.count("*").alias("files"), F.count_distinct("min_batch").alias("batches"), F.sum("records").alias("records"),
+            F.bool_and(F.col("min_batch") == F.col("max_batch")).alias("apart")).first()
+        seen.append((kind, stats["batches"], stats["records"], stats["apart"], stats["files"] > last))
+        last = stats["files"]
+    return t.spark.createDataFrame(seen, "event_type string, batches bigint, records bigint, files_apart boolean, files_grow boolean")
 
 
 @query("L9_rows_kept", "SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, CAST(count(*) AS BIGINT) AS in_both FROM events")
