@@ -41,6 +41,13 @@ def test_windowed_sums_cost_one_shuffle(spark):
     assert inspect.count_shuffles(QUERIES["A10_windowed_sums"](spark, SF)) == 1
 
 
+def test_no_sketch_per_distinct_value(spark):
+    text = inspect.plan_text(QUERIES["A4_approx_distinct"](spark, SF), "simple")
+    keyed = [line for line in text.splitlines() if "Aggregate(key" in line.replace("keys", "key")]
+    assert len(keyed) >= 4
+    assert not [line for line in keyed if "l_partkey" in line.split("functions=")[0] and "approx_count_distinct" in line]
+
+
 def test_sessions_and_runs_shuffle_once(spark):
     for name in ("W12_sessions", "W16_out_of_range_runs"):
         assert inspect.count_shuffles(QUERIES[name](spark, SF)) <= 2
