@@ -64,12 +64,13 @@ def compact(spark: SparkSession, path: str, out: str, *, target_bytes: int = 512
     if files < min_input_files and not rewrite_all:
         return {"rewritten": False, "files_before": files, "files_after": files}
     parts = [p.split("=")[0] for p in (total["f"] or "").split("/") if p]
-    n = target_partitions(total["s"], target_bytes)
+    # a task for each file of a folder, or one task would sort all folders that fit a file together
+    n = max(target_partitions(total["s"], target_bytes), total["out"])
     df = spark.read.parquet(path)
     if strategy == "binpack" and not parts:
         done = df.coalesce(n) if n < files else df.repartition(n)
     elif strategy == "binpack":
-        done = df.repartitionByRange(max(n, total["out"]), *parts, F.xxhash64(*[c for c in df.columns if c not in parts]))
+        done = df.repartitionByRange(n, *parts, F.xxhash64(*[c for c in df.columns if c not in parts]))
         done = done.sortWithinPartitions(*parts)
     elif strategy == "sort":
         done = df.repartitionByRange(n, *parts, *columns).sortWithinPartitions(*parts, *columns)

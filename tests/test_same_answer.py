@@ -106,6 +106,19 @@ def test_compaction_keeps_partition_folders(spark, tmp_path):
         assert spark.read.parquet(out).select("id", "name").exceptAll(df.select("id", "name")).count() == 0 and spark.read.parquet(out).count() == 400
 
 
+def test_small_folders_are_not_sorted_in_one_task(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.range(4_000).select("id", (F.col("id") % 40).alias("v"), (F.col("id") % 8).alias("dt"))
+    K.overwrite(df, path, ["dt"])
+    for strategy in ("sort", "zorder"):
+        out = str(tmp_path / strategy)
+        layout.compact(spark, path, out, strategy=strategy, columns=["v", "id"], rewrite_all=True)
+        wrote = F.regexp_extract("_metadata.file_path", r"part-(\d+)", 1)
+        tasks = spark.read.parquet(out).groupBy(wrote).count()
+        assert tasks.count() >= 4 and tasks.agg(F.max("count")).first()[0] <= 2_000
+        assert spark.read.parquet(out).select(*df.columns).exceptAll(df).count() == 0 and spark.read.parquet(out).count() == 4_000
+
+
 def test_zorder_tells_strings_with_a_shared_start_apart(spark):
     df = spark.createDataFrame([(f"customer-名-{i:03d}",) for i in range(100)], "name string")
     spread = layout.zorder(df, ["name"], 4).withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).orderBy("lo").collect()
