@@ -203,32 +203,45 @@ def resample(readings: DataFrame, keys: Sequence[str], ts: str, value: str, step
 
     Readings are folded to one row per key and slot before anything is ordered, so
     a busy key costs its slots, not its readings. ``bounds`` (keys, lo, hi) sets the
-    grid; without it the grid runs from a key's first to its last reading.
+    grid; without it the grid runs from a key's first to its last reading. The slots
+    between two readings are made after the window, from the reading before them:
+    the grid itself is neither shuffled nor sorted nor held in memory.
     """
-    number = F.floor(F.unix_seconds(F.col(ts)) / step_seconds)
-    folded = readings.where(F.col(value).isNotNull()).groupBy(*keys, number.alias("__slot")).agg(
+    slot_of = lambda c: F.floor(F.unix_seconds(F.col(c)) / step_seconds)
+    folded = readings.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).groupBy(*keys, slot_of(ts).alias("__slot")).agg(
         F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"),
         F.count("*").alias("observations"), F.max(ts).alias("__at"), F.max_by(value, ts).alias("__v"))
     if bounds is None:
-        ends = folded.groupBy(*keys).agg(F.min("__slot").alias("a"), F.max("__slot").alias("b"))
+        along = Window.partitionBy(*keys).orderBy("__slot")
+        runs = folded.withColumns({"__known_at": F.col("__at"), "__known_v": F.col("__v"),
+                                   "__stop": F.coalesce(F.lead("__slot").over(along) - 1, "__slot")})
     else:
-        edge = lambda c: F.floor(F.unix_seconds(F.col(c)) / step_seconds)
-        ends = bounds.select(*keys, edge("lo").alias("a"), edge("hi").alias("b"))
-    grid = ends.select(*keys, F.explode(F.sequence("a", "b")).alias("__slot"), F.lit(True).alias("__grid"))
-    # readings before the grid still count as carried values, so keep both sides
-    both = folded.unionByName(grid, allowMissingColumns=True).groupBy(*keys, "__slot").agg(
-        *[F.max(c).alias(c) for c in ("mean", "low", "high", "observations", "__at", "__v", "__grid")])
-    w = Window.partitionBy(*keys).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.timestamp_seconds(F.col("__slot") * step_seconds)
-    age = F.unix_micros(start) - F.unix_micros(F.col("__known_at"))
-    fresh = age <= max_age_seconds * 1_000_000
-    done = both.withColumns({"__known_at": F.last("__at", ignorenulls=True).over(w),
-                             "__known_v": F.last("__v", ignorenulls=True).over(w)}).where("__grid")
+        # a row without a reading opens each range, before the reading of the same slot
+        both = folded.unionByName(_ranges(bounds.select(*keys, slot_of("lo").alias("a"), slot_of("hi").alias("b")), keys), allowMissingColumns=True)
+        along = Window.partitionBy(*keys).orderBy("__slot", F.col("__end").isNull())
+        last = lambda c: F.last(c, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+        runs = both.withColumns({"__known_at": last("__at"), "__known_v": last("__v"), "__within": last("__end"),
+                                 "__next": F.lead("__slot").over(along)}).where("__within IS NOT NULL").withColumn(
+            "__stop", F.least(F.col("__next") - 1, "__within")).where("__slot <= __stop")
+    done = runs.withColumn("__n", F.explode(F.sequence("__slot", "__stop")))
+    start = F.timestamp_seconds(F.col("__n") * step_seconds)
+    fresh = F.unix_micros(start) - F.unix_micros(F.col("__known_at")) <= max_age_seconds * 1_000_000
+    seen = (F.col("__n") == F.col("__slot")) & F.col("observations").isNotNull()
     return done.select(
-        *keys, start.alias("slot"), F.coalesce("observations", F.lit(0)).alias("observations"),
-        "low", "high",
-        F.when(F.col("observations") > 0, F.col("mean")).when(fresh, F.col("__known_v")).alias("value"),
-        F.when(F.col("observations") > 0, "observed").when(fresh, "carried").otherwise("gap").alias("source"))
+        *keys, start.alias("slot"), F.when(seen, F.col("observations")).otherwise(F.lit(0)).alias("observations"),
+        F.when(seen, F.col("low")).alias("low"), F.when(seen, F.col("high")).alias("high"),
+        F.when(seen, F.col("mean")).when(fresh, F.col("__known_v")).alias("value"),
+        F.when(seen, "observed").when(fresh, "carried").otherwise("gap").alias("source"))
+
+
+def _ranges(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ranges (a, b) of slots with those that meet made one: (keys, __slot, __end)."""
+    along = Window.partitionBy(*keys).orderBy("a", "b")
+    reach = F.max("b").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    known = ends.where("a IS NOT NULL AND b IS NOT NULL").select(*keys, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    fresh = known.withColumn("__new", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
+    return fresh.withColumn("__range", F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "__range").agg(
+        F.min("a").alias("__slot"), F.max("b").alias("__end")).drop("__range")
 
 
 def close_intervals(changes: DataFrame, keys: Sequence[str], ts: str, value: str, hot: S.HotKeys,

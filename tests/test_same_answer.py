@@ -119,6 +119,46 @@ def test_small_folders_are_not_sorted_in_one_task(spark, tmp_path):
         assert spark.read.parquet(out).select(*df.columns).exceptAll(df).count() == 0 and spark.read.parquet(out).count() == 4_000
 
 
+def brute_grid(rows, ranges, step, most):
+    """The grid of ``resample`` slot by slot: rows (key, id, seconds, value), ranges (key, lo, hi) or None."""
+    out = {}
+    rows = [r for r in rows if r[2] is not None and r[3] is not None]
+    if ranges is None:
+        ranges = [(k, min(r[2] for r in rows if r[0] == k), max(r[2] for r in rows if r[0] == k)) for k in {r[0] for r in rows}]
+    for k, lo, hi in ranges:
+        if lo is None or hi is None:
+            continue
+        for n in range(min(lo, hi) // step, max(lo, hi) // step + 1):
+            here = [r[3] for r in rows if r[0] == k and r[2] // step == n]
+            before = [r for r in rows if r[0] == k and r[2] // step < n]
+            at = max((r[2] for r in before), default=None)
+            if here:
+                out[k, n * step] = (len(here), min(here), max(here), round(sum(here) / len(here), 9), "observed")
+            elif at is not None and n * step - at <= most:
+                out[k, n * step] = (0, None, None, [r[3] for r in before if r[2] == at][0], "carried")
+            else:
+                out[k, n * step] = (0, None, None, None, "gap")
+    return out
+
+
+def test_resampled_grid_is_made_after_the_window(spark):
+    rng = random.Random(5)
+    rows = [(k, i, 1_000_000 + t, rng.randrange(9)) for k in (1, 2, None) for i, t in enumerate(sorted(rng.sample(range(40_000), 12)))]
+    rows += [(3, 0, 1_000_000, 5), (1, 99, None, 5), (2, 98, 1_000_005, None)]
+    ranges = [(1, 1_010_000, 1_030_000), (2, 990_000, 1_005_000), (2, 1_004_000, 1_009_000), (2, 1_035_000, 1_020_000), (None, 1_000_000, 1_050_000),
+              (4, 1_000_000, 1_003_000), (5, None, 1_000_000)]
+    df = spark.createDataFrame([(k, i, s, None if v is None else float(v)) for k, i, s, v in rows], "k int, id int, s long, v double").withColumn("ts", F.timestamp_seconds("s"))
+    bounds = spark.createDataFrame(ranges, "k int, a long, b long").select("k", F.timestamp_seconds("a").alias("lo"), F.timestamp_seconds("b").alias("hi"))
+    for given, table in ((None, None), (ranges, bounds)):
+        got = W.resample(df, ["k"], "ts", "v", 1_000, 4_000, table)
+        found = got.select("k", F.unix_seconds("slot"), "observations", "low", "high", F.round("value", 9), "source").collect()
+        assert len(found) == len({tuple(r)[:2] for r in found})
+        assert {tuple(r)[:2]: tuple(r)[2:] for r in found} == brute_grid(rows, given, 1_000, 4_000)
+        # the tree stands upside down: what is made last comes first, and nothing sorts or gathers the slots
+        text = inspect.plan_text(got, "simple")
+        assert text.index("Generate") < min(text.index(x) for x in ("Window", "Sort", "Aggregate", "Exchange"))
+
+
 def test_zorder_tells_strings_with_a_shared_start_apart(spark):
     df = spark.createDataFrame([(f"customer-名-{i:03d}",) for i in range(100)], "name string")
     spread = layout.zorder(df, ["name"], 4).withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).orderBy("lo").collect()
