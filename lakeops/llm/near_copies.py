@@ -1,15 +1,21 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard likeness of at least 0.8, all of them.
 
-No fingerprint decides. Two sets that are alike enough share one of the first n - ceil(0.8 n) + 1 shingles of
-either, in whatever order all sets have in common (prefix filter). The order puts rare shingles first; how
+Every set has a SimHash of its text's shingles, repeats included, and a binary trie self-join links the fingerprints that differ
+in few bits (``simhash.links``). What it links is compared exactly. Alike texts often differ in ten bits, which no trie budget
+finds among many texts; so the sets that the trie has not tied are joined by their shingles, and no fingerprint decides what stays.
+
+Two sets that are alike enough share one of the first n - ceil(0.8 n) + 1 shingles of either, in whatever order all sets have in common (prefix filter). The order puts rare shingles first; how
 often they occur is counted in a sample, which bears on the work only, not on the result. A posting is two 64-bit numbers, the
 shingle and a short name of the set that begins with its size.
 
-Pairs are found in two rounds. First every set of a posting list is paired with the list's smallest one, which ties large groups
-of near copies together in a linear number of pairs (a shingle common in the sample is dealt over salts, each with a smallest set
-of its own). Then all pairs of a list are formed whose sets are not tied yet. Before a text is read, a pair must pass a bound: the
-shingles that two prefixes share, and all that lies behind the prefix of either, must be able to reach the likeness. What passes
-is compared exactly, whole set against whole set. Near copies of near copies are one group.
+Pairs are found in two rounds. First, beside what the trie links, every set of a posting list is paired with the list's smallest one,
+which ties large groups of near copies together in a linear number of pairs (a shingle common in the sample is dealt over salts, each
+with a smallest set of its own). Then all pairs of a list are looked at whose sets are not tied yet. Before a text is read, a pair must
+pass a bound. In a short list it is a count: the shingles that two prefixes share, and all that lies behind the prefix of either, must
+be able to reach the likeness. A long list holds many sets that are almost alike enough, and a row for each pair would be too many: it
+is dealt over pairs of blocks, and a block pair sends on what a bitmap allows. The bitmap of a set has 2 to 4 bits a shingle, each the
+parity of the shingles that fall on it; two bitmaps differ in no more bits than the sets in shingles, so no pair that is alike enough
+is lost. What passes is compared exactly, whole set against whole set. Near copies of near copies are one group.
 
 Texts are not shuffled where it can be helped: the keys of the rows that are compared, and of the rows that may go, are broadcast
 while there are at most ``KEYS`` of them.
@@ -29,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm.common import Shipped, columns_named, cut, give_back, map_rows, row_key, texts_of
-from lakeops.llm.simhash import LOWER, Forest, components
+from lakeops.llm.simhash import BITS, LOWER, Forest, components, links, majority
 
 SHINGLE = 5
 LIKE = (4, 5)           # least likeness, as a fraction
@@ -39,10 +45,11 @@ BLOCK = 512             # sets compared with one set in a task, about
 HOT = 100_000           # postings of a shingle, as the sample tells, from which it is dealt over salts
 LARGE = 1_000_000       # shingles compared at once after which a worker gives memory back
 KEYS = 1_000_000        # row keys broadcast at most
+LONG = 64               # sets of a posting list from which it is dealt over pairs of blocks
 
 
-def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; letters from A to Z in lower case."""
+def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles, repeats included; letters from A to Z in lower case."""
     words = text.encode("utf-8").translate(LOWER).split()
     if not words:
         return np.empty(0, np.uint64)
@@ -50,7 +57,24 @@ def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.r_[0, ends[:-1] + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends[shingle - 1:].tolist() or [len(joined)])], np.uint64))
+    return np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends[shingle - 1:].tolist() or [len(joined)])], np.uint64)
+
+
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles."""
+    return np.unique(hashes(text, shingle))
+
+
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by their last bits: a power of two of bits, 2 to 4 a shingle, 64 at least."""
+    size = max(64, 1 << (2 * len(found) - 1).bit_length()) if len(found) else 64
+    odd = np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (a row each) brought to ``words`` words: parities of what falls together."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
 
 
 def frequent(docs: DataFrame, text: str, k1: str, share: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,20 +106,24 @@ def prefix(found: np.ndarray, values: np.ndarray, times: np.ndarray) -> np.ndarr
 
 
 def with_set(docs: DataFrame, keep: list[str], text: str, common: Shipped) -> DataFrame:
-    """The columns ``keep``, the 128-bit name of the set of shingles, its size, its short name and its prefix."""
+    """The columns ``keep``, the 128-bit name of the set of shingles, its size, its short name, prefix, bitmap and fingerprint."""
 
     def work(column: pa.Array) -> dict:
-        names, sizes, prefixes = [], [], []
+        names, sizes, prefixes, maps, prints = [], [], [], [], []
         for t in texts_of(column):                # one set at a time
-            s = shingles(t)
+            every = hashes(t)
+            s = np.unique(every)
+            maps.append(bitmap(s).tobytes())
+            prints.append(majority(every))
             names.append(xxhash.xxh3_128_digest(s.tobytes()))
             sizes.append(len(s))
             prefixes.append(prefix(s, *common.value).tobytes())
         n, low = np.array(sizes, np.int64), np.array([int.from_bytes(x[:6], "big") for x in names], np.int64)
-        return {"node": names, "n": n, "short": size_code(n) << 48 | low, "prefix": prefixes}
+        return {"node": names, "n": n, "short": size_code(n) << 48 | low, "prefix": prefixes, "map": maps,
+                "bits": np.array(prints, np.uint64).view(np.int64)}
 
     fields = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("short", T.LongType()),
-                           T.StructField("prefix", T.BinaryType())])
+                           T.StructField("prefix", T.BinaryType()), T.StructField("map", T.BinaryType()), T.StructField("bits", T.LongType())])
     return map_rows(docs, keep, fields, [text], work)
 
 
@@ -213,19 +241,74 @@ def compared(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, block: int =
     return single.unionByName(one).groupBy("a", "chunk").applyInPandas(join, "a binary, b binary")
 
 
-def groups(posted: DataFrame, nodes: DataFrame, keyed: DataFrame, block: int = BLOCK, most_keys: int = KEYS) -> DataFrame:
+def linked(nodes: DataFrame, budget: int = BITS) -> DataFrame:
+    """Pairs (a, b) of short names that the trie join of the fingerprints links: of every link, and of equal fingerprints, one pair."""
+    prints = cut(nodes.groupBy("bits").agg(F.min("short").alias("first")))
+    first = lambda side: prints.select(F.col("bits").alias(side), F.col("first").alias("of_" + side))
+    across = links(prints.select("bits"), budget).join(first("a"), "a").join(first("b"), "b").select("of_a", "of_b")
+    equal = nodes.join(prints, "bits").select("first", "short")
+    return across.unionByName(equal.toDF("of_a", "of_b")).select(
+        F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")).where("a != b").distinct()
+
+
+def may_be_alike(a: np.ndarray, b: np.ndarray, maps_a: list[np.ndarray], maps_b: list[np.ndarray]) -> np.ndarray:
+    """Which sets (short names, bitmaps) of one list may be alike enough to which of the other: no more bits differ than shingles may."""
+    over, under = LIKE
+    most = lambda short: least_size((short >> 48) + 1).astype(np.float64)
+    fits = np.minimum.outer(most(a), most(b)) * under >= np.maximum.outer(least_size(a >> 48), least_size(b >> 48)).astype(np.float64) * over
+    room = np.add.outer(most(a), most(b)) * (under - over) / (under + over)
+    sizes_a, sizes_b = np.array([len(m) for m in maps_a]), np.array([len(m) for m in maps_b])
+    for x in np.unique(sizes_a):
+        for y in np.unique(sizes_b):
+            i, j = np.flatnonzero(sizes_a == x), np.flatnonzero(sizes_b == y)
+            if not fits[np.ix_(i, j)].any():
+                continue
+            words = min(x, y)
+            other = folded(np.stack([maps_b[k] for k in j]), words)
+            for k, row in zip(i, folded(np.stack([maps_a[k] for k in i]), words)):
+                fits[k, j] &= np.bitwise_count(other ^ row).sum(axis=1, dtype=np.int64) <= room[k, j]
+    return fits
+
+
+def long_lists(parted: DataFrame, long: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """Pairs (a, b) of the lists ``long`` (shingle, blocks) that are not tied and that the bitmaps allow."""
+    own = parted.join(long, "shingle").withColumn("own", F.pmod(F.xxhash64("short"), F.col("blocks")))
+    dealt = own.select("shingle", "short", "root", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")).select(
+        "shingle", "short", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def join(rows):
+        maps = [np.frombuffer(m, np.uint64) for m in rows["map"]]
+        short, home, root = rows["short"].to_numpy(np.int64), rows["own"].to_numpy(), rows["root"].tolist()
+        left, right = np.flatnonzero(home == rows["i"].iloc[0]), np.flatnonzero(home == rows["j"].iloc[0])
+        near = may_be_alike(short[left], short[right], [maps[k] for k in left], [maps[k] for k in right])
+        number = {r: n for n, r in enumerate({r for r in root if r is not None})}
+        tree = np.array([-1 - k if r is None else number[r] for k, r in enumerate(root)])
+        x, y = np.nonzero(near & (tree[left][:, None] != tree[right][None, :]))
+        x, y = short[left[x]], short[right[y]]
+        return pd.DataFrame({"a": np.minimum(x, y)[x != y], "b": np.maximum(x, y)[x != y]}).drop_duplicates()
+
+    return dealt.join(nodes.select("short", "map"), "short").groupBy("shingle", "i", "j").applyInPandas(join, "a bigint, b bigint").distinct()
+
+
+def groups(posted: DataFrame, nodes: DataFrame, keyed: DataFrame, block: int = BLOCK, most_keys: int = KEYS, long: int = LONG) -> DataFrame:
     """Root of every set that is alike to another: (node, root)."""
     held = cut(lists(posted))
     smallest = F.first("short").over(Window.partitionBy("shingle", "salt", "band").orderBy("short").rowsBetween(Window.unboundedPreceding, 0))
     stars = held.select(smallest.alias("a"), F.col("short").alias("b")).where("a != b")
-    near = cut(compared(cut(able(stars)), nodes, keyed, block, most_keys))
+    near = cut(compared(cut(linked(nodes).unionByName(able(stars)).distinct()), nodes, keyed, block, most_keys))
     tied = components(near)
     # a short name of two sets is tied to nothing here
     known = tied.join(nodes, "node").groupBy("short").agg(F.first("root").alias("root"), F.count("*").alias("n")).where("n = 1")
     parted = cut(held.join(known, "short", "left").select("shingle", "short", "root"))
-    left, right = parted.withColumnsRenamed({"short": "a", "root": "ra"}), parted.withColumnsRenamed({"short": "b", "root": "rb"})
+    untied = F.count_if(F.col("root").isNull()) + F.count_distinct("root")
+    sized = cut(parted.groupBy("shingle").agg(F.count("*").alias("n"), untied.alias("trees")).where("trees > 1")
+                .select("shingle", F.ceil(F.col("n") / block).alias("blocks"), (F.col("n") >= long).alias("long")))
+    # a pair that meets in a long list is judged there, whatever short lists count of it
+    some = parted.join(sized.where("NOT long").select("shingle"), "shingle", "left_semi")
+    left, right = some.withColumnsRenamed({"short": "a", "root": "ra"}), some.withColumnsRenamed({"short": "b", "root": "rb"})
     rest = left.join(right, "shingle").where("a < b AND (ra IS NULL OR rb IS NULL OR ra != rb)").select("a", "b")
-    return components(near.unionByName(compared(cut(able(rest)), nodes, keyed, block, most_keys)))
+    found = able(rest).unionByName(long_lists(parted, sized.where("long").select("shingle", "blocks"), nodes, block)).distinct()
+    return components(near.unionByName(compared(cut(found), nodes, keyed, block, most_keys)))
 
 
 def few(keys: DataFrame, most: int) -> DataFrame:
@@ -233,7 +316,8 @@ def few(keys: DataFrame, most: int) -> DataFrame:
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, hot: int = HOT, most_keys: int = KEYS) -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, hot: int = HOT, most_keys: int = KEYS,
+                long: int = LONG) -> DataFrame:
     """The rows of ``docs`` without near copies: of every group the row of the smallest id, ties broken by the text."""
     k1, k2 = row_key(doc_id, text)
     keyed = docs.select(F.struct(*columns_named(docs.columns)).alias("__row"), k1, k2, F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
@@ -241,10 +325,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", blo
     common = Shipped(docs.sparkSession, frequent(keyed, "__text", "k1", share))
     marked = cut(with_set(keyed, ["k1", "k2", "__id"], "__text", common))
     lowest = F.min(F.struct(F.col("__id").isNull(), "__id", "k1", "k2"))
-    nodes = cut(marked.groupBy("node").agg(lowest.alias("head"), F.first("short").alias("short"), F.count("*").alias("rows")))
+    nodes = cut(marked.groupBy("node").agg(lowest.alias("head"), F.first("short").alias("short"), F.first("map").alias("map"),
+                                           F.min("bits").alias("bits"), F.count("*").alias("rows")))
     repeated = marked.groupBy("k1", "k2").agg(F.count("*").alias("copies")).where("copies > 1")
-    heads = cut(nodes.select("node", "short", "head.k1", "head.k2").join(repeated, ["k1", "k2"], "left").na.fill(1, ["copies"]))
-    roots = cut(groups(postings(marked, common, share, hot), heads, keyed, block, most_keys).withColumnRenamed("node", "linked"))
+    heads = cut(nodes.select("node", "short", "map", "bits", "head.k1", "head.k2").join(repeated, ["k1", "k2"], "left").na.fill(1, ["copies"]))
+    roots = cut(groups(postings(marked, common, share, hot), heads, keyed, block, most_keys, long).withColumnRenamed("node", "linked"))
     chosen = (nodes.join(roots, F.col("node") == F.col("linked")).groupBy("root").agg(F.min("head").alias("first")))
     # the head that stays, for every node that has several rows or is near another; rows of other nodes stay as they are
     fate = (nodes.join(roots, F.col("node") == F.col("linked"), "left").join(chosen, "root", "left").where("rows > 1 OR root IS NOT NULL")

@@ -44,8 +44,12 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.r_[0, ends[:-1] + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[s:e], 42) for s, e in zip(starts, ends[shingle - 1:].tolist() or [len(joined)])]
-    rows, ones = np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), np.zeros(64, np.int64)
+    return majority(np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends[shingle - 1:].tolist() or [len(joined)])], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each 1 if it is set in over half of the hashes."""
+    rows, ones = hashes.astype(">u8").view(np.uint8).reshape(-1, 8), np.zeros(64, np.int64)
     for first in range(0, len(rows), 65_536):
         bits = np.unpackbits(rows[first:first + 65_536], axis=1).astype(np.float32)
         ones += (np.ones(len(bits), np.float32) @ bits).astype(np.int64)

@@ -119,3 +119,48 @@ def test_sizes_within_the_likeness_lie_in_neighbouring_bands():
 def test_columns_with_dots(spark):
     df = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y")], "doc_id long, text string, `a.b` string")
     assert [tuple(r) for r in near_copies.one_of_each(df).collect()] == [(1, "a b c d e f", "x")]
+
+
+def variants(rng, n, length, changes):
+    """Texts that share a base and differ from it in ``changes`` words each: near it, mostly not near one another."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base = [word() for _ in range(length)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for k in rng.sample(range(length), changes):
+            words[k] = word()
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("how", [{"long": 2, "block": 7}, {"long": 30, "block": 40}])
+def test_long_lists_lose_no_pair(spark, how):
+    rng = random.Random(9)
+    texts = variants(rng, 90, 300, 6) + variants(rng, 40, 60, 1) + [t for _, t in planted()]
+    rows = list(enumerate(texts))
+    left = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), **how).collect()
+    assert sorted((False, r["doc_id"]) for r in left) == brute_left(rows)
+
+
+def test_bitmaps_allow_what_is_alike_and_little_else():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 90, 700, 3_000):
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for gone in (0, n // 20, n // 10, n // 5, n // 2):
+            other = np.unique(np.r_[base[gone:], rng.integers(0, 1 << 63, gone // 2, dtype=np.uint64)])
+            sets = [base, other]
+            short = near_copies.size_code(np.array([len(x) for x in sets])) << 48
+            maps = [near_copies.bitmap(x) for x in sets]
+            may = near_copies.may_be_alike(short[:1], short[1:], maps[:1], maps[1:])[0, 0]
+            shared = len(np.intersect1d(*sets))
+            likeness = shared / max(1, len(base) + len(other) - shared)
+            assert may or likeness < 0.8
+            assert not may or likeness > 0.6 or n < 90
+
+
+def test_the_trie_links_fingerprints_within_its_bits(spark):
+    nodes = [(10, 0b0000), (11, 0b0000), (12, 0b0011), (13, 0b1111), (14, 255 << 32)]
+    got = near_copies.linked(spark.createDataFrame(nodes, "short long, bits long")).collect()
+    up = {r["a"] for r in got} | {r["b"] for r in got}
+    assert up == {10, 11, 12, 13} and len(got) == 3
