@@ -1,7 +1,8 @@
 """Writers: overwrite rules, file layout, bucketing, reports."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,15 +98,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(where))
 
 
-def remove_partition(spark: SparkSession, path: str, partition: str, value) -> None:
-    """Delete the folder of one partition value."""
+def _partition_folder(spark: SparkSession, partition: str, value) -> str:
     # Spark itself says how it spells the value in a folder name
-    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
         partition, None if value is None else str(value))
-    where, files = _file_system(spark, f"{path.rstrip('/')}/{named}")
+
+
+def remove_partition(spark: SparkSession, path: str, partition: str, value) -> None:
+    """Delete the folder of one partition value."""
+    where, files = _file_system(spark, f"{path.rstrip('/')}/{_partition_folder(spark, partition, value)}")
     files.delete(where, True)
 
 
+def replace_slice(df: DataFrame, path: str, values: Mapping[str, object], check: Callable[[DataFrame], object]) -> None:
+    """Write one partition's rows beside the data set, run ``check`` on what was written, then put it in the place of the partition.
+
+    ``df`` is computed once, so a check of what is hard to read (text files) costs no second reading.
+    ``values`` are the partition columns in their order; ``df`` need not have them. Where ``check`` raises, the
+    partition stays as it was and the new rows are removed. Readers skip the folder the rows wait in.
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    staged = f"{root}/.staged-{uuid.uuid4().hex}"
+    waiting, files = _file_system(spark, staged)
+    try:
+        df.drop(*values).write.parquet(staged)
+        check(spark.read.parquet(staged))
+        place, _ = _file_system(spark, "/".join([root, *[_partition_folder(spark, c, v) for c, v in values.items()]]))
+        files.mkdirs(place.getParent())
+        files.delete(place, True)
+        if not files.rename(waiting, place):
+            raise OSError(f"could not move {staged} to {place}")
+    finally:
+        files.delete(waiting, True)
+
+
 def single_csv(df: DataFrame, path: str) -> None:
     """One file for people to read; hand it statements, not tables."""
     df.repartition(1).write.mode("overwrite").option("header", True).csv(path)

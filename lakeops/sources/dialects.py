@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators import gates
+from lakeops.sinks import writers
 from lakeops.sources import readers
 
 # The positional record of the fixed-width dialect.
@@ -67,11 +68,27 @@ def read_partner(spark: SparkSession, path: str, dialect: str) -> DataFrame:
     return DIALECTS[dialect](spark, path)
 
 
+def _readable(legs: DataFrame, max_bad: float) -> dict:
+    return gates.enforce(gates.parse_failures(legs, ["event_ts", "charge_amount"], max_bad))
+
+
+def _labelled(legs: DataFrame, dialect: str, partner: str, currency: str, run_date: str) -> DataFrame:
+    return legs.select("*", F.lit(partner).alias("partner_code"), F.lit(currency).alias("currency"),
+                       F.lit(dialect).alias("source_format"),
+                       F.lit(run_date).cast("date").alias("settlement_date"))
+
+
 def ingest_partner(spark: SparkSession, path: str, dialect: str, partner: str, currency: str, run_date: str,
                    max_bad: float = 0.001) -> DataFrame:
     """Parse, refuse a file with too many unreadable rows, and label the legs."""
     legs = read_partner(spark, path, dialect)
-    gates.enforce(gates.parse_failures(legs, ["event_ts", "charge_amount"], max_bad))
-    return legs.select("*", F.lit(partner).alias("partner_code"), F.lit(currency).alias("currency"),
-                       F.lit(dialect).alias("source_format"),
-                       F.lit(run_date).cast("date").alias("settlement_date"))
+    _readable(legs, max_bad)
+    return _labelled(legs, dialect, partner, currency, run_date)
+
+
+def load_partner(spark: SparkSession, path: str, dialect: str, partner: str, currency: str, run_date: str, target: str,
+                 max_bad: float = 0.001) -> None:
+    """``ingest_partner`` into the partner's slice of the day at ``target``; the file is parsed once and a refused one changes nothing."""
+    legs = _labelled(read_partner(spark, path, dialect), dialect, partner, currency, run_date)
+    writers.replace_slice(legs, target, {"settlement_date": run_date, "partner_code": partner},
+                          lambda written: _readable(written, max_bad))

@@ -10,7 +10,7 @@ from lakeops.jobs.cdr import for_write
 from lakeops.operators import erasure, gates, layout, setops
 from lakeops.operators import joins as J
 from lakeops.plans import inspect
-from lakeops.session import load_table
+from lakeops.session import Tables, load_table
 from lakeops.sinks import writers as K
 from lakeops.sources import dialects, readers
 
@@ -121,6 +121,48 @@ def test_partner_ingest_replaces_its_own_slice(spark, tmp_path):
     assert got.count() == 2 and {r.currency for r in got.collect()} == {"EUR"}
 
 
+def test_partner_load_refuses_without_a_trace_and_leaves_the_others(spark, tmp_path):
+    out = str(tmp_path / "legs")
+    load = lambda name, text, partner: ((tmp_path / name).write_text(text), dialects.load_partner(
+        spark, str(tmp_path / name), "csv_v1", partner, "EUR", "2026-09-03", out))
+    good = "1,2,03092026,101500,75,2,12.5\n3,4,03092026,101600,5,1,0.5\n"
+    load("a.csv", good, "A")
+    load("b.csv", good, "B/ 1")
+    held = rows(spark.read.parquet(out))
+    for _ in range(2):
+        load("a.csv", good, "A")
+        assert rows(spark.read.parquet(out)) == held
+    for bad in (good + "1,2,garbage,101500,75,2,12.5\n", good + "1,2,03092026,101500,75,2,x\n", ""):
+        with pytest.raises(gates.GateFailed):
+            load("bad.csv", bad, "A")
+        assert rows(spark.read.parquet(out)) == held
+    load("a.csv", "7,8,03092026,101500,75,2,1\n", "A")
+    legs = spark.read.parquet(out)
+    assert rows(legs.select("partner_code", "a_number", "settlement_date").where("partner_code = 'A'").selectExpr(
+        "a_number", "CAST(settlement_date AS STRING)")) == [("7", "2026-09-03")]
+    assert legs.where("partner_code = 'B/ 1'").count() == 2
+    assert not glob.glob(f"{out}/.staged-*")
+    same = dialects.ingest_partner(spark, str(tmp_path / "a.csv"), "csv_v1", "A", "EUR", "2026-09-03")
+    assert rows(legs.where("partner_code = 'A'").select(same.columns)) == rows(same)
+
+
+def test_partner_ingest_parses_a_delivery_once(spark, monkeypatch):
+    from lakeops.queries import stored
+    parsed = spark.sparkContext.accumulator(0)
+
+    def counted(at):
+        parsed.add(1)
+        return at
+
+    read = dialects.read_partner
+    monkeypatch.setattr(dialects, "read_partner", lambda *args: read(*args).withColumn(
+        "event_ts", F.udf(counted, "timestamp")("event_ts")))
+    got = stored.e13(Tables(spark, SF)).collect()
+    lines = load_table(spark, SF, "lineitem").count()
+    assert [r.legs for r in got] == [lines] * 4
+    assert parsed.value == 4 * 2 * lines        # four partners, each file delivered twice
+
+
 # ------------------------------------------------------------------ sinks
 def test_partition_overwrite_is_idempotent_and_local(spark, events, tmp_path):
     path = str(tmp_path / "p")
