@@ -98,6 +98,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(where))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file that is of no more use."""
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def _partition_folder(spark: SparkSession, partition: str, value) -> str:
     # Spark itself says how it spells the value in a folder name
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
@@ -106,8 +112,7 @@ def _partition_folder(spark: SparkSession, partition: str, value) -> str:
 
 def remove_partition(spark: SparkSession, path: str, partition: str, value) -> None:
     """Delete the folder of one partition value."""
-    where, files = _file_system(spark, f"{path.rstrip('/')}/{_partition_folder(spark, partition, value)}")
-    files.delete(where, True)
+    remove(spark, f"{path.rstrip('/')}/{_partition_folder(spark, partition, value)}")
 
 
 def replace_slice(df: DataFrame, path: str, values: Mapping[str, object], check: Callable[[DataFrame], object]) -> None:
@@ -121,7 +126,7 @@ def replace_slice(df: DataFrame, path: str, values: Mapping[str, object], check:
     staged = f"{root}/.staged-{uuid.uuid4().hex}"
     waiting, files = _file_system(spark, staged)
     try:
-        df.drop(*values).write.parquet(staged)
+        df.drop(*values).write.option("compression", "zstd").parquet(staged)
         check(spark.read.parquet(staged))
         place, _ = _file_system(spark, "/".join([root, *[_partition_folder(spark, c, v) for c, v in values.items()]]))
         files.mkdirs(place.getParent())

@@ -1,6 +1,8 @@
 """Sources, sinks and layout jobs against real files."""
 import glob
 import json
+import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +165,33 @@ def test_partner_ingest_parses_a_delivery_once(spark, monkeypatch):
     assert parsed.value == 4 * 2 * lines        # four partners, each file delivered twice
 
 
+def test_partner_ingest_holds_little_beside_its_slices(spark, monkeypatch, tmp_path):
+    from lakeops.queries import stored
+    n, load, lock, running, seen = 20_000, dialects.load_partner, threading.Lock(), [], []
+    spark.range(n).selectExpr(
+        "id AS l_orderkey", "id * 7919 % 20000 AS l_partkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber", "CAST(id % 50 + 1 AS DOUBLE) AS l_quantity",
+        "CAST(id * 104729 % 10000000 AS DOUBLE) / 100 AS l_extendedprice",
+        "TIMESTAMP '1995-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 2500 AS INT)) AS l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    size = lambda path: sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*"))
+
+    def watched(session, path, dialect, *rest):
+        local = path.removeprefix("file:")
+        with lock:
+            running.append(path)
+            seen.append((dialect, local, size(local), len(running)))
+        load(session, path, dialect, *rest)
+        with lock:
+            running.remove(path)
+
+    monkeypatch.setattr(dialects, "load_partner", watched)
+    got = stored.e13(Tables(spark, str(tmp_path))).collect()
+    assert [r.legs for r in got] == [n] * 4 and len({r.charge for r in got}) == 1
+    assert len(seen) == 8 and max(s[3] for s in seen) <= 2
+    for dialect, path, held, _ in seen:
+        assert 0 < held < 35 * n                            # as plain text a leg takes 45 to 76 bytes
+        assert os.path.exists(path) == (dialect == "tap3")  # loaded twice, the text is gone
+
+
 # ------------------------------------------------------------------ sinks
 def test_partition_overwrite_is_idempotent_and_local(spark, events, tmp_path):
     path = str(tmp_path / "p")
