@@ -107,8 +107,8 @@ DIALECT_LEGS = """
       strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S') AS first_ts FROM lineitem GROUP BY 1"""
 
 
-# a gzipped file is read by one task, so a file holds a bounded number of legs
-GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000}
+# a gzipped file is read by one task, so a file holds few legs; tasks read several
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 100_000}
 
 
 def _pre_decoded(t):
